@@ -44,7 +44,7 @@ def lookup(
 
 def zone_lookup(rides: DataFrame, zones: DataFrame) -> DataFrame:
     """Names of the pickup and the dropoff zone; a missing zone is ``Unknown``."""
-    names = broadcast_when_small(zones.select("zone_id", "zone_name"), ["zone_id"])
+    names = broadcast_when_small(zones.select("zone_id", "zone_name"))
     joined = lookup(rides, names, {"PULocationID": "zone_id"}, {"zone_name": "_pickup_name"})
     joined = lookup(joined, names, {"DOLocationID": "zone_id"}, {"zone_name": "_dropoff_name"})
     return joined.select(
@@ -59,7 +59,7 @@ def zone_lookup(rides: DataFrame, zones: DataFrame) -> DataFrame:
 
 def broadcast_enrich(rides: DataFrame, latest_zones: DataFrame) -> DataFrame:
     """The whole ride plus zone names; a missing, NULL or empty name is ``Unknown``."""
-    names = broadcast_when_small(latest_zones.select("zone_id", "zone_name"), ["zone_id"])
+    names = broadcast_when_small(latest_zones.select("zone_id", "zone_name"))
     joined = lookup(rides, names, {"PULocationID": "zone_id"}, {"zone_name": "pickup_zone"})
     joined = lookup(joined, names, {"DOLocationID": "zone_id"}, {"zone_name": "dropoff_zone"})
     return joined.withColumns(
@@ -75,7 +75,7 @@ def latest_per_key(updates: DataFrame, keys: list[str], sequence: list[str]) ->
 
 def with_zone_names(by_zone: DataFrame, zones: DataFrame) -> DataFrame:
     """A per-zone result with the zone's name."""
-    names = broadcast_when_small(zones.select("zone_id", "zone_name"), ["zone_id"])
+    names = broadcast_when_small(zones.select("zone_id", "zone_name"))
     joined = lookup(by_zone, names, {"zone_id": "zone_id"}, {"zone_name": "zone_name"})
     return joined.withColumn("zone_name", or_default("zone_name", UNKNOWN))
 
@@ -374,7 +374,7 @@ def driver_join(
 
 def chained_enrich(rides: DataFrame, zones: DataFrame, drivers: DataFrame) -> DataFrame:
     """Zone names, then the driver's current name and rating."""
-    known = broadcast_when_small(drivers.select("driver_id", "name", "rating"), ["driver_id"])
+    known = broadcast_when_small(drivers.select("driver_id", "name", "rating"))
     return lookup(
         broadcast_enrich(rides, zones),
         known,

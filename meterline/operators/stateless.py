@@ -91,13 +91,17 @@ def encode_json(df: DataFrame, name: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias(name))
 
 
-def decode_json(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Rows from JSON strings. A malformed record yields NULLs and is kept in CORRUPT."""
+def decode_json(
+    df: DataFrame, schema: StructType, value: str = "value", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Rows from JSON strings, next to the columns to ``keep``.
+
+    A malformed record yields NULLs and is kept in CORRUPT.
+    """
     full = StructType(list(schema.fields)).add(CORRUPT, "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.select(
-        F.from_json(F.col(value).cast("string"), full, options).alias("record")
-    ).select("record.*")
+    record = F.from_json(F.col(value).cast("string"), full, options).alias("record")
+    return df.select(*keep, record).select("record.*", *keep)
 
 
 def default_key(df: DataFrame, column: str = "driver_id", default: int = 0) -> DataFrame:

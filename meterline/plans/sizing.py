@@ -36,13 +36,14 @@ def measure(df: DataFrame, keys: list[str]) -> Size:
     return Size(row["rows"] or 0, row["bytes"] or 0, row["top"] or 0)
 
 
-def broadcast_when_small(df: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_when_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only for a side measured to be small.
 
     Past the limit the side is returned as it is: Spark then shuffles both sides, and adaptive
     skew handling splits a hot key's partition.
     """
-    return F.broadcast(df) if measure(df, keys).bytes <= limit else df
+    total = df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if total <= limit else df
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:

@@ -18,6 +18,12 @@ SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# Settings that are fixed once a session exists.
+STATIC_SETTINGS = {
+    # Recording the Python call site of every expression makes building a plan several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings above to an existing session."""
@@ -31,6 +37,6 @@ def get_session(app: str = "meterline", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **conf}.items():
+    for name, value in {**STATIC_SETTINGS, **SETTINGS, **conf}.items():
         builder = builder.config(name, value)
     return configure(builder.getOrCreate())

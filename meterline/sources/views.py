@@ -7,13 +7,27 @@ Every view covers its whole base table. Rides come from ``events``, zones from `
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from meterline.functions.scalars import event_time
+
+# The columns of the given tables. Declaring them saves the job that would read
+# file footers to find them out.
+COLUMNS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+_MINUTES = "make_dt_interval(0, 0, cast({} as int), 0)"
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,99 +36,89 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ride_columns(events: DataFrame) -> DataFrame:
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("user_id").cast("int").alias("driver_id"),
-        ((F.col("event_id") * 7 + F.col("user_id")) % 29).cast("int").alias("PULocationID"),
-        ((F.col("event_id") * 11 + F.col("user_id") * 3) % 29).cast("int").alias("DOLocationID"),
-        F.round(F.lit(0.5) + (F.col("event_id") % 245) / F.lit(10.0), 2).alias("trip_distance"),
-        F.col("value").alias("total_amount"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("tpep_pickup_datetime"),
-        event_time(F.unix_millis(F.col("ts").cast("timestamp"))).alias("event_time"),
+        "cast(user_id as int) AS driver_id",
+        "cast((event_id * 7 + user_id) % 29 as int) AS PULocationID",
+        "cast((event_id * 11 + user_id * 3) % 29 as int) AS DOLocationID",
+        "round(0.5D + (event_id % 245) / 10D, 2) AS trip_distance",
+        "value AS total_amount",
+        "unix_millis(cast(ts as timestamp)) AS tpep_pickup_datetime",
+        "timestamp_millis(unix_millis(cast(ts as timestamp))) AS event_time",
         "event_type",
     )
 
 
 def taxi_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("zone_id"),
-        F.col("r_name").alias("borough"),
-        F.col("n_name").alias("zone_name"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey AS zone_id", "r_name AS borough", "n_name AS zone_name"
     )
 
 
 def zone_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three versions of each zone, two weeks apart, the first from 2 January on."""
-    start = F.lit("2024-01-02 00:00:00").cast("timestamp")
-    return taxi_zones(spark, sf_dir).select(
-        "zone_id",
-        "zone_name",
-        F.explode(F.sequence(F.lit(0), F.lit(2))).alias("version"),
-    ).select(
-        "zone_id",
-        F.concat_ws(" v", "zone_name", F.col("version").cast("string")).alias("zone_name"),
-        "version",
-        (
-            start
-            + F.make_dt_interval(days=F.col("version") * 14, hours=F.col("zone_id").cast("int"))
-        ).alias("valid_from"),
+    return (
+        taxi_zones(spark, sf_dir)
+        .selectExpr("zone_id", "zone_name", "explode(sequence(0, 2)) AS version")
+        .selectExpr(
+            "zone_id",
+            "concat(zone_name, ' v', version) AS zone_name",
+            "version",
+            "timestamp'2024-01-02 00:00:00' "
+            "+ make_dt_interval(version * 14, zone_id, 0, 0) AS valid_from",
+        )
     )
 
 
 def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers outside one market segment; the others' rides have an unknown driver."""
-    return driver_columns(
-        table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY")
-    )
+    return driver_columns(table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'"))
 
 
 def driver_columns(customer: DataFrame) -> DataFrame:
-    return customer.select(
-        F.col("c_custkey").cast("int").alias("driver_id"),
-        F.col("c_name").alias("name"),
-        F.round(F.lit(4.5) + (F.col("c_custkey") % 50) / F.lit(100.0), 2).alias("rating"),
+    return customer.selectExpr(
+        "cast(c_custkey as int) AS driver_id",
+        "c_name AS name",
+        "round(4.5D + (c_custkey % 50) / 100D, 2) AS rating",
     )
 
 
 def driver_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One update per order, spread over the 30 days the rides cover."""
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").cast("int").alias("driver_id"),
-        F.concat(F.lit("Driver "), F.col("o_custkey").cast("string"), F.lit(" "),
-                 F.col("o_orderstatus")).alias("name"),
-        F.round(F.lit(4.5) + (F.col("o_orderkey") % 50) / F.lit(100.0), 2).alias("rating"),
-        (start + F.make_dt_interval(mins=(F.col("o_orderkey") * 37 % 43200).cast("int")))
-        .alias("updated_at"),
-        F.col("o_orderkey").alias("update_id"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_custkey as int) AS driver_id",
+        "concat('Driver ', o_custkey, ' ', o_orderstatus) AS name",
+        "round(4.5D + (o_orderkey % 50) / 100D, 2) AS rating",
+        "timestamp'2024-01-01 00:00:00' + "
+        + _MINUTES.format("o_orderkey * 37 % 43200")
+        + " AS updated_at",
+        "o_orderkey AS update_id",
     )
 
 
 def pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rides(spark, sf_dir).select(
-        F.col("event_id").cast("string").alias("trip_id"),
-        F.col("PULocationID").alias("pickup_zone"),
-        F.col("event_time").alias("pickup_time"),
+    return rides(spark, sf_dir).selectExpr(
+        "cast(event_id as string) AS trip_id",
+        "PULocationID AS pickup_zone",
+        "event_time AS pickup_time",
     )
 
 
 def dropoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0-149 minutes after the pickup; rides that ended in an error have none."""
-    return rides(spark, sf_dir).where(F.col("event_type") != "error").select(
-        F.col("event_id").cast("string").alias("trip_id"),
-        F.col("DOLocationID").alias("dropoff_zone"),
-        (
-            F.col("event_time")
-            + F.make_dt_interval(mins=(F.col("event_id") % 150).cast("int"))
-        ).alias("dropoff_time"),
-        F.col("total_amount").alias("fare"),
+    ended = rides(spark, sf_dir).where("event_type <> 'error'")
+    return ended.selectExpr(
+        "cast(event_id as string) AS trip_id",
+        "DOLocationID AS dropoff_zone",
+        "event_time + " + _MINUTES.format("event_id % 150") + " AS dropoff_time",
+        "total_amount AS fare",
     )
 
 
 def late_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides with an arrival time: three in ten arrive 5-30 minutes after they happened."""
-    delay = F.when(F.col("event_id") % 10 < 3, 5 + F.col("event_id") % 26).otherwise(0)
-    return rides(spark, sf_dir).withColumn(
-        "arrival_time", F.col("event_time") + F.make_dt_interval(mins=delay.cast("int"))
+    late_by = "CASE WHEN event_id % 10 < 3 THEN 5 + event_id % 26 ELSE 0 END"
+    return rides(spark, sf_dir).selectExpr(
+        "*", "event_time + " + _MINUTES.format(late_by) + " AS arrival_time"
     )

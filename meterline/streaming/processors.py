@@ -1,0 +1,274 @@
+"""Per-key state machines on streams.
+
+Each is a small ``StatefulProcessor``; Spark partitions the rows by key, keeps the state in
+RocksDB and restores it after a failure. A key's rows of one micro-batch are put in event-time
+order first, because a micro-batch loses the order of arrival; their number is bounded by the
+source's rate limit per trigger.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
+
+from meterline.functions.durations import to_micros
+
+DRIVER, RIDE = 0, 1
+EMIT_PARTIAL, BUFFER, DROP_IF_OLD = "emit_partial", "buffer", "drop_if_old"
+
+
+# --- rides and drivers -----------------------------------------------------------------------
+
+
+class DriverJoin(StatefulProcessor):
+    """Emit a ride when its driver is known, else apply the policy."""
+
+    def __init__(self, ride: StructType, policy: str, wait_ms: int):
+        self.fields = ride.names
+        self.waiting = StructType(list(ride.fields)).add("_us", "long")
+        self.row = Row(*ride.names, "driver_name", "driver_rating")
+        self.policy = policy
+        self.wait_ms = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.driver = handle.getValueState("driver", "name string, rating double")
+        self.pending = handle.getListState("pending", self.waiting)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # At one instant the driver comes first.
+        for row in sorted(rows, key=lambda r: (r["_us"], r["_side"])):
+            now = row["_us"]
+            if row["_side"] == DRIVER:
+                self.driver.update((row["_name"], row["_rating"]))
+                yield from self._flush(now)
+                continue
+            ride = tuple(row[name] for name in self.fields)
+            if self.driver.exists():
+                yield self.row(*ride, *self.driver.get())
+            elif self.policy == EMIT_PARTIAL:
+                yield self.row(*ride, None, None)
+            else:
+                self.pending.appendValue((*ride, now))
+                if self.policy == DROP_IF_OLD:
+                    self.handle.registerTimer(now // 1000 + self.wait_ms + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Forget the rides that have waited too long."""
+        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        kept = [tuple(r) for r in self.pending.get() if self._in_time(r, now)]
+        self.pending.clear()
+        if kept:
+            self.pending.put(kept)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+    def _flush(self, now: int) -> Iterator[Row]:
+        if not self.pending.exists():
+            return
+        driver = self.driver.get()
+        for ride in self.pending.get():
+            if self._in_time(ride, now):
+                yield self.row(*tuple(ride)[:-1], *driver)
+        self.pending.clear()
+
+    def _in_time(self, ride, now: int) -> bool:
+        return self.policy != DROP_IF_OLD or now - ride[-1] <= self.wait_ms * 1000
+
+
+def join_drivers(
+    rides: DataFrame,
+    drivers: DataFrame,
+    policy: str = BUFFER,
+    max_wait: str = "1 hour",
+    driver_time: str = "event_time",
+) -> DataFrame:
+    """C5, C6 on streams: rides with ``driver_name`` and ``driver_rating``.
+
+    A ride without driver_id has key 0. ``drop_if_old`` forgets waiting rides by event time and
+    so needs a watermark on both streams; Spark then drops late rows first, so route them before
+    (``LateRouter``) if they must not be lost.
+    """
+    keyed = rides.withColumn("driver_id", F.coalesce("driver_id", F.lit(0)))
+    left = keyed.withColumn("_side", F.lit(RIDE))
+    right = drivers.select(
+        "driver_id",
+        F.col(driver_time).alias("event_time"),
+        F.lit(DRIVER).alias("_side"),
+        F.col("name").alias("_name"),
+        F.col("rating").alias("_rating"),
+    )
+    both = left.unionByName(right, allowMissingColumns=True).withColumn(
+        "_us", F.unix_micros("event_time")
+    )
+    output = StructType(list(keyed.schema.fields)).add("driver_name", "string").add(
+        "driver_rating", "double"
+    )
+    processor = DriverJoin(keyed.schema, policy, to_micros(max_wait) // 1000)
+    mode = "EventTime" if policy == DROP_IF_OLD else "None"
+    return both.groupBy("driver_id").transformWithState(processor, output, "append", mode)
+
+
+# --- patterns over one stream ----------------------------------------------------------------
+
+
+class LastN(StatefulProcessor):
+    """the latest n items of a key; each change emits them all, most recent first."""
+
+    def __init__(self, key: str, item: StructType, n: int):
+        self.row = Row(key, "recency", *item.names)
+        self.fields = item.names
+        self.item = StructType(list(item.fields)).add("_us", "long")
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.items = handle.getListState("items", self.item)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = [tuple(i) for i in self.items.get()] if self.items.exists() else []
+        held += [(*(r[name] for name in self.fields), r["_us"]) for r in rows]
+        held = sorted(held, key=lambda i: i[-1], reverse=True)[: self.n]
+        self.items.put(held)
+        for recency, item in enumerate(held, start=1):
+            yield self.row(*key, recency, *item[:-1])
+
+    def close(self) -> None:
+        pass
+
+
+def last_n(rides: DataFrame, key: str, columns: list[str], n: int = 5) -> DataFrame:
+    """F5 on a stream, for an upsert sink keyed by (key, recency)."""
+    items = rides.select(key, *columns, F.unix_micros("event_time").alias("_us"))
+    item = StructType([items.schema[c] for c in columns])
+    output = StructType([items.schema[key]]).add("recency", "integer")
+    for field in item.fields:
+        output.add(field)
+    return items.groupBy(key).transformWithState(LastN(key, item, n), output, "update", "None")
+
+
+class ChangeDetector(StatefulProcessor):
+    """F8: emit a row when the value differs from the key's previous one."""
+
+    def __init__(self, key: str, value_type: str):
+        self.row = Row(key, "event_time", "previous_value", "current_value")
+        self.value_type = value_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.previous = handle.getValueState("previous", f"value {self.value_type}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for row in sorted(rows, key=lambda r: r["us"]):
+            if self.previous.exists():
+                before = self.previous.get()[0]
+                if before != row["value"]:
+                    yield self.row(*key, row["event_time"], before, row["value"])
+            self.previous.update((row["value"],))
+
+    def close(self) -> None:
+        pass
+
+
+def detect_changes(rides: DataFrame, key: str, value: str) -> DataFrame:
+    """F8 on a stream."""
+    rows = rides.select(
+        key, "event_time", F.unix_micros("event_time").alias("us"), F.col(value).alias("value")
+    )
+    kind = rows.schema["value"].dataType
+    output = (
+        StructType([rows.schema[key]])
+        .add("event_time", "timestamp")
+        .add("previous_value", kind)
+        .add("current_value", kind)
+    )
+    processor = ChangeDetector(key, kind.simpleString())
+    return rows.groupBy(key).transformWithState(processor, output, "append", "None")
+
+
+class RateVerdict(StatefulProcessor):
+    """allow or throttle each event by the count of its key and window so far."""
+
+    def __init__(self, key: str, limit: int, width_ms: int):
+        self.row = Row(key, "event_time", "nth_in_window", "verdict")
+        self.limit = limit
+        self.width_ms = width_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", "window_ms long", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for row in sorted(rows, key=lambda r: r["us"]):
+            window = (row["window_ms"],)
+            if self.counts.containsKey(window):
+                n = self.counts.getValue(window)[0] + 1
+            else:
+                n = 1
+                self.handle.registerTimer(row["window_ms"] + self.width_ms)
+            self.counts.updateValue(window, (n,))
+            verdict = "allow" if n <= self.limit else "throttle"
+            yield self.row(*key, row["event_time"], n, verdict)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Forget the window that has ended."""
+        window = (expiredTimerInfo.getExpiryTimeInMs() - self.width_ms,)
+        if self.counts.containsKey(window):
+            self.counts.removeKey(window)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def rate_verdicts(
+    rides: DataFrame, key: str = "PULocationID", size: str = "1 minute", limit: int = 20
+) -> DataFrame:
+    """F9 on a stream with a watermark, which tells when a window's count can be forgotten."""
+    start = F.window("event_time", size)["start"]
+    rows = rides.select(
+        key,
+        "event_time",
+        F.unix_micros("event_time").alias("us"),
+        F.unix_millis(start).alias("window_ms"),
+    )
+    output = (
+        StructType([rows.schema[key]])
+        .add("event_time", "timestamp")
+        .add("nth_in_window", "long")
+        .add("verdict", "string")
+    )
+    processor = RateVerdict(key, limit, to_micros(size) // 1000)
+    return rows.groupBy(key).transformWithState(processor, output, "append", "EventTime")
+
+
+class ExpiringCounter(StatefulProcessor):
+    """a count per key that starts over after a time without updates."""
+
+    def __init__(self, key: str, ttl_ms: int):
+        self.row = Row(key, "total_trips")
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "n long", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n = self.total.get()[0] if self.total.exists() else 0
+        n += sum(r["n"] for r in rows)
+        self.total.update((n,))
+        yield self.row(*key, n)
+
+    def close(self) -> None:
+        pass
+
+
+def expiring_count(rides: DataFrame, key: str = "PULocationID", ttl: str = "1 hour") -> DataFrame:
+    """time to live goes by the clock, so this runs in processing-time mode."""
+    rows = rides.select(key, F.lit(1).alias("n"))
+    output = StructType([rows.schema[key]]).add("total_trips", "long")
+    processor = ExpiringCounter(key, to_micros(ttl) // 1000)
+    return rows.groupBy(key).transformWithState(processor, output, "update", "ProcessingTime")

@@ -1,0 +1,149 @@
+"""Late routing and broadcast enrichment on streams, replays included."""
+
+from pyspark.sql import functions as F
+
+from meterline.operators import joins, late, windows
+from meterline.sources.specs import RIDES, TableSpec, to_sink_types
+from meterline.sources.topics import read_files
+from meterline.streaming.enrich import BroadcastEnricher, tagged
+from meterline.streaming.late import LateRouter, late_counts, total_late
+from meterline.streaming.sinks import changelog, current_rows, read_changelog
+from tests.streams import at, ride, rows_of, run, write_batches
+
+BATCHES = [
+    [ride(0), ride(300)],
+    [ride(294.999), ride(295), ride(310)],  # watermark 295 s
+    [ride(100), ride(304), ride(305)],  # watermark 305 s
+]
+
+
+def open_stream(spark, folder):
+    """Without a watermark: Spark would drop the late rows."""
+    raw = spark.readStream.schema(RIDES.schema).option("maxFilesPerTrigger", 1).json(folder)
+    return RIDES.with_event_time(raw, watermark=False)
+
+
+def test_late_rows_are_routed_not_dropped(spark, tmp_path):
+    rides = open_stream(spark, write_batches(tmp_path / "in", *BATCHES))
+    main, side, count = (str(tmp_path / n) for n in ("main", "late", "count"))
+    counted, kept = late_counts(count), changelog(side)
+
+    def late_sink(rows, batch_id):
+        kept(rows, batch_id)
+        counted(rows, batch_id)
+
+    router = LateRouter(str(tmp_path / "control"), changelog(main), late_sink)
+    run(rides.writeStream.foreachBatch(router), tmp_path / "cp")
+    schema = to_sink_types(
+        router.observe(RIDES.with_event_time(spark.createDataFrame([], RIDES.schema)), None)
+    ).schema
+    on_time = rows_of(read_changelog(spark, main, schema), "event_time")
+    routed = rows_of(read_changelog(spark, side, schema), "event_time", "watermark", "status")
+    assert routed == [
+        (at(100), at(305), "LATE"), (at(294.999), at(295), "LATE"), (at(304), at(305), "LATE"),
+    ]
+    assert on_time == [(at(0),), (at(295),), (at(300),), (at(305),), (at(310),)]
+    assert total_late(spark, count).first()["stat_value"] == 3
+
+    # A repeated last batch is split as before and replaces its own rows.
+    again = RIDES.with_event_time(spark.createDataFrame(
+        [tuple(r[c] for c in RIDES.schema.names) for r in BATCHES[2]], RIDES.schema))
+    router(again, 2)
+    assert rows_of(read_changelog(spark, side, schema), "event_time", "watermark", "status") == routed
+    assert total_late(spark, count).first()["stat_value"] == 3
+
+
+def test_allowed_lateness_updates_the_result(spark, tmp_path):
+    """G6 on a stream: the delay is lengthened by the lateness, and changed windows come again."""
+    batches = [[ride(10, fare=1.0)], [ride(400, fare=2.0)], [ride(20, fare=4.0)],
+               [ride(2000, fare=8.0)], [ride(2001, fare=8.0)], [ride(30, fare=16.0)]]
+    folder = write_batches(tmp_path / "in", *batches)
+    spec = TableSpec(RIDES.name, RIDES.columns, epoch_ms=RIDES.epoch_ms,
+                     event_time="event_time", delay="605 seconds")
+    df = windows.tumbling_revenue(read_files(spark, spec, folder), "5 minutes")
+    out = str(tmp_path / "out")
+    run(df.writeStream.outputMode("update").foreachBatch(changelog(out)), tmp_path / "cp")
+    schema = to_sink_types(df).schema
+    log = read_changelog(spark, out, schema).where(F.col("window_start") == at(0))
+    assert rows_of(log, "trip_count", "total_revenue") == [(1, 1.0), (2, 5.0)]
+    current = current_rows(spark, out, schema, ["zone_id", "window_start"])
+    assert rows_of(current, "window_start", "total_revenue") == [
+        (at(0), 5.0), (at(300), 2.0), (at(1800), 16.0),
+    ]
+
+
+def arrivals(spark, *rows):
+    data = [(n, 1, fare, s, n) for n, (s, fare) in enumerate(rows)]
+    return spark.createDataFrame(
+        data, "event_id LONG, PULocationID INT, total_amount DOUBLE, s DOUBLE, arrival_time LONG"
+    ).withColumn("event_time", F.expr("timestamp_millis(1704110400000 + cast(s * 1000 as long))"))
+
+
+def test_lateness_edges_on_a_table(spark):
+    rows = [(10.0, 1.0), (305.0, 2.0), (20.0, 4.0), (905.0, 8.0), (30.0, 16.0), (300.0, 32.0)]
+    met = late.with_watermark(arrivals(spark, *rows), ["arrival_time"], group_rows=10)
+    observed = late.late_observer(met)
+    assert [r["status"] for r in observed.orderBy("proc_time").collect()] == [
+        "on-time", "on-time", "LATE", "on-time", "LATE", "LATE",
+    ]
+    got = late.windows_with_lateness(observed)
+    # At watermark 900 s the window that ended at 300 s may no longer change, the next one may.
+    assert rows_of(to_sink_types(got), "window_start", "trip_count", "total_revenue",
+                   "late_updates") == [
+        (at(0), 2, 5.0, 1), (at(300), 2, 34.0, 1), (at(900), 1, 8.0, 0),
+    ]
+    dropped = late.windows_with_lateness(observed, lateness="0 seconds")
+    assert rows_of(dropped, "trip_count", "late_updates") == [(1, 0), (1, 0), (1, 0)]
+
+
+ZONES_IN = TableSpec("zones", "zone_id INT, zone_name STRING, offset LONG")
+
+
+def test_updatable_broadcast_dimension(spark, tmp_path):
+    def zone(key, name, offset):
+        return {"zone_id": key, "zone_name": name, "offset": offset}
+
+    rides = [[ride(0, 1, 1.0, to=2)], [ride(1, 1, 2.0, to=3)], [ride(2, 1, 3.0, to=2)]]
+    zones = [[zone(1, "old", 1), zone(1, "A", 2)], [zone(2, "B", 3), zone(3, "", 4)],
+             [zone(2, None, 5)]]
+    left = open_stream(spark, write_batches(tmp_path / "rides", *rides))
+    right = spark.readStream.schema(ZONES_IN.schema).option("maxFilesPerTrigger", 1).json(
+        write_batches(tmp_path / "zones", *zones)
+    )
+    both = tagged(left, right, ["offset"])
+    out = str(tmp_path / "out")
+    enricher = BroadcastEnricher(str(tmp_path / "dim"), changelog(out))
+    run(both.writeStream.foreachBatch(enricher), tmp_path / "cp")
+    log = spark.read.parquet(out)
+    expected = [
+        (1.0, "A", "Unknown"),  # zone 2 not seen yet
+        (2.0, "A", "Unknown"),  # empty name
+        (3.0, "A", "Unknown"),  # name withdrawn
+    ]
+    assert rows_of(log, "total_amount", "pickup_zone", "dropoff_zone") == expected
+    assert set(RIDES.schema.names) < set(log.columns)
+
+    # Batch 1 again: zone 2 is B in it, and its own partition is replaced.
+    repeated = tagged(
+        RIDES.with_event_time(spark.read.schema(RIDES.schema).json(str(tmp_path / "rides/00001.json"))),
+        spark.read.schema(ZONES_IN.schema).json(str(tmp_path / "zones/00001.json")),
+        ["offset"],
+    )
+    fresh = BroadcastEnricher(str(tmp_path / "dim2"), changelog(out))
+    first = tagged(
+        RIDES.with_event_time(spark.read.schema(RIDES.schema).json(str(tmp_path / "rides/00000.json"))),
+        spark.read.schema(ZONES_IN.schema).json(str(tmp_path / "zones/00000.json")),
+        ["offset"],
+    )
+    fresh(first, 0)
+    fresh(repeated, 1)
+    fresh(repeated, 1)
+    assert rows_of(spark.read.parquet(out), "total_amount", "pickup_zone", "dropoff_zone") == expected
+
+
+def test_lookup_keeps_an_empty_name(spark):
+    rides = spark.createDataFrame([(1, 2, 5.0, 0)], "PULocationID INT, DOLocationID INT, "
+                                  "total_amount DOUBLE, event_time INT")
+    zones = spark.createDataFrame([(1, "")], "zone_id INT, zone_name STRING")
+    row = joins.zone_lookup(rides, zones).first()
+    assert (row["pickup_zone_name"], row["dropoff_zone_name"]) == ("", "Unknown")

@@ -1,0 +1,176 @@
+"""State machines on streams, on literal fixtures."""
+
+import time
+
+import pytest
+
+from meterline.sources.specs import RIDES, TableSpec
+from meterline.sources.topics import read_files
+from meterline.streaming import processors
+from meterline.streaming.sinks import changelog, read_changelog
+from tests.streams import ms, ride, rows_of, run, write_batches
+
+DRIVERS = TableSpec(
+    "drivers",
+    "driver_id INT, name STRING, rating DOUBLE, at_ms BIGINT",
+    epoch_ms="at_ms",
+    event_time="event_time",
+)
+
+
+def driver(seconds, key=1, name="Ann", rating=4.9):
+    return {"driver_id": key, "name": name, "rating": rating, "at_ms": ms(seconds)}
+
+
+def join(spark, tmp_path, rides, drivers, policy, max_wait="1 hour", watermark=False):
+    def source(spec, name, batches):
+        path = write_batches(tmp_path / name, *batches)
+        raw = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", 1).json(path)
+        return spec.with_event_time(raw, watermark)
+
+    left = source(RIDES, "rides", rides)
+    right = source(DRIVERS, "drivers", drivers)
+    out = processors.join_drivers(left, right, policy, max_wait)
+    path = str(tmp_path / "out")
+    run(out.writeStream.foreachBatch(changelog(path)), tmp_path / "cp")
+    return rows_of(
+        read_changelog(spark, path, out.schema),
+        "driver_id", "total_amount", "driver_name", "driver_rating",
+    )
+
+
+def test_ride_waits_for_its_driver(spark, tmp_path):
+    rides = [[ride(0, fare=1.0)], [ride(30, fare=2.0), ride(31, fare=9.0, driver=2)],
+             [ride(60, fare=3.0)]]
+    drivers = [[driver(-5, key=3)], [driver(20)], [driver(50, name="Ann B")]]
+    assert join(spark, tmp_path, rides, drivers, "buffer") == [
+        (1, 1.0, "Ann", 4.9),  # waited
+        (1, 2.0, "Ann", 4.9),  # known at once
+        (1, 3.0, "Ann B", 4.9),  # after an update; the ride of driver 2 waits for ever
+    ]
+
+
+def test_order_within_a_batch_is_event_time(spark, tmp_path):
+    rides = [[ride(0, fare=1.0), ride(10, fare=2.0), ride(20, fare=3.0)]]
+    drivers = [[driver(15, name="new"), driver(10, name="old")]]
+    assert join(spark, tmp_path, rides, drivers, "buffer") == [
+        (1, 1.0, "old", 4.9),
+        (1, 2.0, "old", 4.9),  # at one instant the driver comes first
+        (1, 3.0, "new", 4.9),
+    ]
+
+
+def test_emit_partial_does_not_wait(spark, tmp_path):
+    rides = [[ride(0, fare=1.0)], [ride(30, fare=2.0)]]
+    drivers = [[driver(-5, key=3)], [driver(20)]]
+    assert join(spark, tmp_path, rides, drivers, "emit_partial") == [
+        (1, 1.0, None, None),
+        (1, 2.0, "Ann", 4.9),
+    ]
+
+
+def test_ride_without_driver_has_key_zero(spark, tmp_path):
+    nobody = {k: v for k, v in ride(0, fare=5.0).items() if k != "driver_id"}
+    got = join(spark, tmp_path, [[nobody]], [[driver(0, key=0, name="pool")]], "buffer")
+    assert got == [(0, 5.0, "pool", 4.9)]
+
+
+def test_drop_if_old(spark, tmp_path):
+    rides = [[ride(0, fare=1.0), ride(3000, fare=2.0)], [ride(3000, fare=7.0, driver=5)]]
+    drivers = [[driver(0, key=9)], [driver(3660)]]
+    got = join(spark, tmp_path, rides, drivers, "drop_if_old", "1 hour", watermark=True)
+    assert got == [(1, 2.0, "Ann", 4.9)]  # the first ride is 61 minutes old
+
+
+def test_expired_rides_leave_the_state(spark, tmp_path):
+    # Far later rides move the watermark past both waiting rides' time.
+    far = [[ride(20_000, driver=8)], [ride(20_001, driver=8)], [ride(20_002, driver=8)]]
+    rides = [[ride(0, fare=1.0)], *far]
+    drivers = [[driver(0, key=9)], [driver(20_000, key=9)], [driver(20_001, key=9)],
+               [driver(20_002, key=1)]]
+    got = join(spark, tmp_path, rides, drivers, "drop_if_old", "1 minute", watermark=True)
+    assert got == []
+
+
+def stream(spark, tmp_path, *batches):
+    return read_files(spark, RIDES, write_batches(tmp_path / "in", *batches))
+
+
+def collect(spark, tmp_path, df, mode, *columns):
+    path = str(tmp_path / "out")
+    run(df.writeStream.outputMode(mode).foreachBatch(changelog(path)), tmp_path / "cp")
+    return rows_of(read_changelog(spark, path, df.schema), "batch_id", *columns)
+
+
+def test_last_n(spark, tmp_path):
+    rides = stream(
+        spark, tmp_path, [ride(1, fare=1.0), ride(3, fare=3.0)], [ride(2, fare=2.0), ride(9, zone=4)]
+    )
+    df = processors.last_n(rides, "PULocationID", ["event_time", "total_amount"], 2)
+    got = collect(spark, tmp_path, df, "update", "PULocationID", "recency", "total_amount")
+    assert got == [
+        (0, 1, 1, 3.0), (0, 1, 2, 1.0),
+        (1, 1, 1, 3.0), (1, 1, 2, 2.0), (1, 4, 1, 10.0),
+    ]
+
+
+def test_change_detection(spark, tmp_path):
+    rides = stream(
+        spark, tmp_path, [ride(1, zone=5), ride(2, zone=5)], [ride(4, zone=6), ride(3, zone=5)]
+    )
+    df = processors.detect_changes(rides, "driver_id", "PULocationID")
+    got = collect(spark, tmp_path, df, "append", "driver_id", "previous_value", "current_value")
+    assert got == [(1, 1, 5, 6)]
+
+
+def test_rate_verdicts(spark, tmp_path):
+    rides = stream(spark, tmp_path, [ride(1), ride(2)], [ride(3), ride(61)], [ride(62)])
+    df = processors.rate_verdicts(rides, limit=2)
+    got = collect(spark, tmp_path, df, "append", "PULocationID", "nth_in_window", "verdict")
+    assert got == [
+        (0, 1, 1, "allow"), (0, 1, 2, "allow"),
+        (1, 1, 1, "allow"), (1, 1, 3, "throttle"),
+        (2, 1, 2, "allow"),
+    ]
+
+
+def test_count_starts_over_after_ttl(spark, tmp_path):
+    folder = write_batches(tmp_path / "in", [ride(1), ride(2)])
+    df = processors.expiring_count(read_files(spark, RIDES, folder), ttl="3 seconds")
+    path = str(tmp_path / "out")
+    query = (
+        df.writeStream.outputMode("update")
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(processingTime="200 milliseconds")
+        .foreachBatch(changelog(path))
+        .start()
+    )
+
+    def totals():
+        try:
+            found = read_changelog(spark, path, df.schema)
+            return [r["total_trips"] for r in found.orderBy("batch_id").collect()]
+        except Exception:
+            return []
+
+    def wait_for(expected):
+        deadline = time.monotonic() + 60
+        while totals() != expected and time.monotonic() < deadline:
+            time.sleep(0.3)
+        assert totals() == expected
+
+    try:
+        wait_for([2])
+        time.sleep(6)
+        write_batches(folder, [ride(3)], first=1)
+        wait_for([2, 1])
+    finally:
+        query.stop()
+
+
+@pytest.mark.parametrize("policy", ["unheard of"])
+def test_unknown_policy(spark, policy):
+    from meterline.operators.joins import driver_join
+
+    with pytest.raises(ValueError):
+        driver_join(None, None, policy)
