@@ -27,3 +27,9 @@ def to_micros(duration: str) -> int:
 def interval(duration: str) -> Column:
     """The duration as a day-time interval column."""
     return F.expr(f"INTERVAL '{to_micros(duration) / 1_000_000:.6f}' SECOND")
+
+
+def bucket_start(time: str, duration: str) -> Column:
+    """The start, in microseconds, of the epoch-aligned bucket a time lies in."""
+    micros = F.unix_micros(time)
+    return micros - F.pmod(micros, F.lit(to_micros(duration)))

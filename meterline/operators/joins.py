@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.functions.durations import interval, to_micros
+from meterline.functions.durations import bucket_start, interval, to_micros
 from meterline.functions.scalars import (
     UNKNOWN,
     minutes_between,
@@ -264,6 +264,15 @@ def trip_outcomes(pickups: DataFrame, dropoffs: DataFrame, within: str = "30 min
     return per_trip.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("trips"))
 
 
+def with_outcome(joined: DataFrame) -> DataFrame:
+    """C8 on a stream: rows of the left outer ``trip_join``, told apart for ``batch_counts``.
+
+    What has expired there counts as unmatched: its dropoff is not kept long enough to be seen.
+    """
+    found = F.col("dropoff_time").isNotNull()
+    return joined.withColumn("outcome", F.when(found, "matched").otherwise("unmatched"))
+
+
 def nearby_rides(
     rides: DataFrame, others: DataFrame | None = None, within: str = "5 minutes"
 ) -> DataFrame:
@@ -274,18 +283,17 @@ def nearby_rides(
     instead of a zone's whole history, for tables and for streaming state alike. Streams must be
     read twice: pass the second reader as ``others``.
     """
-    width = to_micros(within)
 
     def side(df: DataFrame, n: int) -> DataFrame:
         return df.select(
             F.col("PULocationID").alias(f"_zone{n}"),
             F.col("event_time").alias(f"ride{n}_time"),
             F.col("total_amount").alias(f"ride{n}_fare"),
-            F.floor(F.unix_micros("event_time") / F.lit(width)).alias(f"_bucket{n}"),
+            bucket_start("event_time", within).alias(f"_bucket{n}"),
         )
 
-    first = side(rides, 1).select("*", F.explode(
-        F.array(F.col("_bucket1"), F.col("_bucket1") + 1)).alias("_bucket"))
+    reachable = F.array(F.col("_bucket1"), F.col("_bucket1") + to_micros(within))
+    first = side(rides, 1).select("*", F.explode(reachable).alias("_bucket"))
     second = side(others if others is not None else rides, 2)
     match = (
         (F.col("_zone1") == F.col("_zone2"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.functions.durations import interval, to_micros
+from meterline.functions.durations import bucket_start, interval, to_micros
 
 ZONE = {"zone_id": "PULocationID"}
 
@@ -125,7 +125,7 @@ def session_driver(rides: DataFrame, gap: str = "10 seconds") -> DataFrame:
             )
         )
     width = to_micros(gap)
-    cell = F.floor(F.unix_micros("event_time") / F.lit(width)).alias("cell")
+    cell = bucket_start("event_time", gap).alias("cell")
     cells = (
         rides.where(F.col("event_time").isNotNull())
         .groupBy("driver_id", cell)

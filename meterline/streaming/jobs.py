@@ -57,6 +57,18 @@ def await_all(queries: list[StreamingQuery], timeout: float) -> None:
             query.stop()
 
 
+def dropped_as_late(query: StreamingQuery) -> int:
+    """Rows a query's stateful steps have dropped for being late.
+
+    Spark counts them after partial aggregation, so this may be less than the events dropped.
+    """
+    return sum(
+        step["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for step in progress["stateOperators"]
+    )
+
+
 def dashboard_outputs(
     rides: Callable[[], DataFrame], writer: Callable[[str], BatchWriter]
 ) -> list[Output]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from meterline.functions.durations import to_micros
 from meterline.functions.scalars import processing_time
 from meterline.operators.late import LATE, ON_TIME
-from meterline.streaming.sinks import BatchWriter
+from meterline.streaming.sinks import BatchWriter, batch_counts, total_counts
 
 
 class LateRouter:
@@ -84,17 +84,12 @@ class LateRouter:
 
 
 def late_counts(path: str) -> BatchWriter:
-    """A side output that keeps only how many rows came late, batch by batch."""
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        count = rows.agg(F.count("*").alias("stat_value"))
-        count.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
+    """A side output that keeps only how many rows came late."""
+    return batch_counts(path, ["status"])
 
 
 def total_late(spark: SparkSession, path: str) -> DataFrame:
-    counts = spark.read.schema("stat_value BIGINT").parquet(path)
-    return counts.agg(F.coalesce(F.sum("stat_value"), F.lit(0)).alias("stat_value")).select(
+    totals = total_counts(spark, path, "status STRING")
+    return totals.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("stat_value")).select(
         F.lit("late_events").alias("stat_name"), "stat_value"
     )

@@ -77,7 +77,43 @@ def current_rows(
     spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]
 ) -> DataFrame:
     """The keyed table a changelog amounts to, one row per key."""
-    log = read_changelog(spark, path, schema)
+    return _last_per_key(read_changelog(spark, path, schema), schema, keys)
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    keys: Sequence[str],
+    through: int,
+    into: str,
+) -> None:
+    """Start a new changelog from the table as of batch ``through``.
+
+    The old one is only read. Restart the stream on the new path; its batch ids go on from there.
+    """
+    log = read_changelog(spark, path, schema).where(F.col("batch_id") <= through)
+    _last_per_key(log, schema, keys).write.mode("overwrite").parquet(f"{into}/batch_id={through}")
+
+
+def batch_counts(path: str, by: Sequence[str]) -> BatchWriter:
+    """Keep only how many rows each batch had per value of ``by``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(*by).agg(F.count("*").alias("rows"))
+        counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def total_counts(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """The sums over all batches; ``by`` declares the counted columns."""
+    schema = StructType.fromDDL(by)
+    log = spark.read.schema(StructType(schema.fields).add("rows", "long")).parquet(path)
+    return log.groupBy(*schema.names).agg(F.sum("rows").alias("rows"))
+
+
+def _last_per_key(log: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
     last = F.max_by(F.struct(*schema.names), "batch_id")
     return log.groupBy(*keys).agg(last.alias("last")).select("last.*")
 
