@@ -33,6 +33,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, and gives later steps column pruning and pushdown on the stored rows.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/meterline/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables, once their results have been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/meterline/{spark.sparkContext.applicationId}"

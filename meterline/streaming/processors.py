@@ -88,21 +88,27 @@ def join_drivers(
     policy: str = BUFFER,
     max_wait: str = "1 hour",
     driver_time: str = "event_time",
+    salts: int = 8,
 ) -> DataFrame:
     """C5, C6 on streams: rides with ``driver_name`` and ``driver_rating``.
 
+    Rides do not affect each other, so a driver's rides are spread over ``salts`` state machines,
+    each of which sees all of that driver's (few) updates: a busy driver is not one task's work.
+
     A ride without driver_id has key 0. ``drop_if_old`` forgets waiting rides by event time and
     so needs a watermark on both streams; Spark then drops late rows first, so route them before
     (``LateRouter``) if they must not be lost.
     """
     keyed = rides.withColumn("driver_id", F.coalesce("driver_id", F.lit(0)))
-    left = keyed.withColumn("_side", F.lit(RIDE))
+    salt = F.pmod(F.xxhash64(*keyed.columns), F.lit(salts))
+    left = keyed.withColumns({"_side": F.lit(RIDE), "_salt": salt})
     right = drivers.select(
         "driver_id",
         F.col(driver_time).alias("event_time"),
         F.lit(DRIVER).alias("_side"),
         F.col("name").alias("_name"),
         F.col("rating").alias("_rating"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"),
     )
     both = left.unionByName(right, allowMissingColumns=True).withColumn(
         "_us", F.unix_micros("event_time")
@@ -112,7 +118,9 @@ def join_drivers(
     )
     processor = DriverJoin(keyed.schema, policy, to_micros(max_wait) // 1000)
     mode = "EventTime" if policy == DROP_IF_OLD else "None"
-    return both.groupBy("driver_id").transformWithState(processor, output, "append", mode)
+    return both.groupBy("driver_id", "_salt").transformWithState(
+        processor, output, "append", mode
+    )
 
 
 # --- patterns over one stream ----------------------------------------------------------------

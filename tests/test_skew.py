@@ -1,12 +1,14 @@
 """The plans for large or hot inputs give what the plans for small ones give."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators import joins, late, state, windows
 from meterline.plans import sizing
 from meterline.plans.ordered import Running, running
-from meterline.plans.shared import shared_dir
+from meterline.plans.shared import drop_materialized, shared_dir
 from tests.streams import rows_of
 
 ALWAYS_SPLIT = -1
@@ -164,5 +166,52 @@ def test_panes_need_a_dividing_slide(spark, hot):
         windows.sliding_average(hot, "50 seconds", "20 seconds", panes=True)
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def shuffled_joins(spark, monkeypatch):
+    """Joins at a scale where nothing is broadcast, with thresholds for small data."""
+    monkeypatch.setattr(joins, "broadcast_when_small", lambda df: df)
+    before = {name: spark.conf.get(name, None) for name in SKEW}
+    for name, value in SKEW.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def test_hot_zone_is_split_in_a_shuffled_lookup(spark, hot, shuffled_joins):
+    rides = hot.withColumn("DOLocationID", F.col("driver_id"))
+    zones = spark.range(40).selectExpr("cast(id as int) AS zone_id", "concat('z', id) AS zone_name")
+    joined = joins.broadcast_enrich(rides, zones)
+    assert len(joined.collect()) == 3000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_bucket_is_split_in_nearby_rides(spark, hot, shuffled_joins):
+    burst = hot.withColumn("event_time", F.expr(
+        "if(event_id % 3 < 2, timestamp_millis(1704110400000 + event_id * 20), event_time)"))
+    joined = joins.nearby_rides(burst)
+    rows = joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    # Zone 1 has 2000 rides within a minute, all of them pairs of each other.
+    assert sum(r.zone_id == 1 and r.ride2_fare is not None for r in rows) > 1_000_000
+
+
+def test_intermediate_tables_can_be_dropped(spark, hot):
+    state.running_average(hot, ALWAYS_SPLIT)
+    drop_materialized(spark)
+    folder = f"{shared_dir(spark)}/meterline/{spark.sparkContext.applicationId}"
+    assert not os.path.exists(folder)
+
+
 def test_shared_folder_is_the_cluster_setting(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -6,8 +6,8 @@ from meterline.operators import joins, state, stateless, windows
 from meterline.plans import dashboard
 from meterline.sources.specs import DROPOFFS, PICKUPS, RIDES, to_sink_types
 from meterline.sources.topics import read_files
-from meterline.streaming import jobs
-from meterline.streaming.sinks import changelog, current_rows, read_changelog
+from meterline.streaming import jobs, processors
+from meterline.streaming.sinks import changelog, current_rows, read_changelog, to_memory
 from tests.streams import at, ride, rows_of, run, write_batches
 
 BATCHES = [
@@ -187,6 +187,30 @@ def test_nearby_rides(spark, tmp_path):
     assert rows_of(static, "ride1_fare", "ride2_fare", "time_diff_seconds") == got
 
 
+def test_top_zones_of_a_stream(spark, tmp_path):
+    df = dashboard.top_zones(stream(spark, tmp_path, BATCHES), 2)
+    run(to_memory(df, "busiest", "complete"), tmp_path / "cp")
+    assert [tuple(r) for r in spark.table("busiest").collect()] == [
+        tuple(r) for r in dashboard.top_zones(table(spark, tmp_path), 2).collect()
+    ]
+
+
+def test_chained_enrichment(spark, tmp_path):
+    """A stateful join, then two lookups, in one query."""
+    rides = stream(spark, tmp_path, BATCHES)
+    updates = spark.readStream.schema("driver_id INT, name STRING, rating DOUBLE, t TIMESTAMP")
+    drivers = updates.json(write_batches(tmp_path / "drivers", [
+        {"driver_id": 1, "name": "Ann", "rating": 4.9, "t": at(10).isoformat()}]))
+    zones = spark.createDataFrame([(1, "A")], "zone_id INT, zone_name STRING")
+    joined = processors.join_drivers(rides, drivers, driver_time="t")
+    got = streamed(spark, tmp_path, joins.broadcast_enrich(joined, zones), "append")
+    assert rows_of(got, "total_amount", "pickup_zone", "dropoff_zone", "driver_name") == [
+        (8.0, "A", "Unknown", "Ann"), (11.0, "Unknown", "Unknown", "Ann"),
+        (12.0, "Unknown", "Unknown", "Ann"), (21.0, "A", "Unknown", "Ann"),
+        (30.5, "Unknown", "A", "Ann"),
+    ]
+
+
 def test_totals_survive_a_restart(spark, tmp_path):
     source = lambda: read_files(spark, RIDES, str(tmp_path / "in"))
     out = str(tmp_path / "out")
