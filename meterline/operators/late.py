@@ -8,7 +8,7 @@ moves between micro-batches, is ``meterline.streaming.late``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.durations import interval
@@ -19,12 +19,19 @@ ON_TIME, LATE = "on-time", "LATE"  # fixed values
 
 
 def with_watermark(
-    rides: DataFrame, order: list[str], delay: str = "5 seconds", group_rows: int = GROUP_ROWS
+    rides: DataFrame,
+    order: list[str],
+    delay: str = "5 seconds",
+    group_rows: int = GROUP_ROWS,
+    generator: Column | None = None,
 ) -> DataFrame:
-    """Add the ``watermark`` each row meets on arrival."""
-    seen = running(
-        rides, [], order, [Running("_max", "max", F.col("event_time"), before=True)], group_rows
-    )
+    """Add the ``watermark`` each row meets on arrival.
+
+    ``generator`` (G3) replaces the event time as what moves the watermark, for instance by the
+    time of marker rows and NULL on others.
+    """
+    moves = F.col("event_time") if generator is None else generator
+    seen = running(rides, [], order, [Running("_max", "max", moves, before=True)], group_rows)
     return seen.withColumn("watermark", F.col("_max") - interval(delay)).drop("_max")
 
 

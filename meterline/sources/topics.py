@@ -36,13 +36,15 @@ def kafka_options(
     return options
 
 
-def decode(spec: TableSpec, records: DataFrame, position: tuple[str, ...] = ()) -> DataFrame:
+def decode(
+    spec: TableSpec, records: DataFrame, position: tuple[str, ...] = (), watermark: bool = True
+) -> DataFrame:
     """Typed rows with their event time, from records with a JSON ``value``.
 
-    ``position`` keeps columns such as ``partition`` and ``offset``, which order the updates of
+    ``position`` keeps columns such as ``timestamp`` and ``offset``, which order the updates of
     a table that has no time of its own.
     """
-    return spec.with_event_time(decode_json(records, spec.schema, keep=position))
+    return spec.with_event_time(decode_json(records, spec.schema, keep=position), watermark)
 
 
 def read_topic(
@@ -53,10 +55,12 @@ def read_topic(
     max_per_trigger: int | None = None,
     min_partitions: int | None = None,
     position: tuple[str, ...] = (),
+    watermark: bool = True,
 ) -> DataFrame:
     """A1-A3: an endless table over a topic."""
     options = kafka_options(spec, servers, starting, max_per_trigger, min_partitions)
-    return decode(spec, spark.readStream.format("kafka").options(**options).load(), position)
+    records = spark.readStream.format("kafka").options(**options).load()
+    return decode(spec, records, position, watermark)
 
 
 def peek_topic(spark: SparkSession, spec: TableSpec, servers: str, n: int = 10) -> DataFrame:
@@ -72,8 +76,22 @@ def offsets(topic: str, by_partition: dict[int, int]) -> str:
 
 
 def read_files(
-    spark: SparkSession, spec: TableSpec, path: str, fmt: str = "json", files_per_trigger: int = 1
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    fmt: str = "json",
+    files_per_trigger: int = 1,
+    position: bool = False,
+    watermark: bool = True,
 ) -> DataFrame:
-    """An endless table over a folder of JSON or parquet files of the declared schema."""
+    """An endless table over a folder of JSON or parquet files of the declared schema.
+
+    ``position`` adds the time each row's file was written, as ``timestamp``.
+    """
     reader = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", files_per_trigger)
-    return spec.with_event_time(reader.format(fmt).load(path))
+    rows = reader.format(fmt).load(path)
+    if position:
+        rows = rows.select("*", "_metadata.file_modification_time").withColumnRenamed(
+            "file_modification_time", "timestamp"
+        )
+    return spec.with_event_time(rows, watermark)

@@ -9,10 +9,10 @@ writes the other one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions.durations import to_micros
+from meterline.functions.durations import interval
 from meterline.functions.scalars import processing_time
 from meterline.operators.late import LATE, ON_TIME
 from meterline.streaming.sinks import BatchWriter, batch_counts, total_counts
@@ -31,12 +31,16 @@ class LateRouter:
         late: BatchWriter,
         delay: str = "5 seconds",
         event_time: str = "event_time",
+        generator: Column | None = None,
     ):
+        """``generator`` (G3) is an aggregate over a batch that gives the watermark it leads to,
+        such as that of marker rows only; the watermark never moves back."""
         self.control = control
         self.on_time = on_time
         self.late = late
         self.delay = delay
         self.event_time = event_time
+        self.generator = generator
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -46,12 +50,14 @@ class LateRouter:
             observed = self.observe(batch, watermark)
             self.on_time(observed.where(F.col("status") == ON_TIME), batch_id)
             self.late(observed.where(F.col("status") == LATE), batch_id)
-            seen = batch.agg(F.max(self.event_time).alias("top")).select(
+            reached = self.generator
+            if reached is None:
+                reached = F.max(self.event_time) - interval(self.delay)
+            seen = batch.agg(reached.alias("reached")).select(
                 F.lit(batch_id + 1).alias("batch_id"),
-                F.greatest(
-                    F.lit(watermark).cast("long"),
-                    F.unix_micros("top") - F.lit(to_micros(self.delay)),
-                ).alias("watermark_us"),
+                F.greatest(F.lit(watermark).cast("long"), F.unix_micros("reached")).alias(
+                    "watermark_us"
+                ),
             )
             seen.coalesce(1).write.mode("overwrite").parquet(self._slot(batch_id + 1))
         finally:

@@ -47,6 +47,19 @@ def to_topic(df: DataFrame, spec: TableSpec, servers: str, checkpoint: str) -> D
     )
 
 
+def topic_writer(spec: TableSpec, servers: str) -> BatchWriter:
+    """A5, A6 from ``foreachBatch``, for jobs that write to several places."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = to_sink_types(batch)
+        records = upsert_records(rows, spec.key) if spec.key else append_records(rows)
+        records.write.format("kafka").option("kafka.bootstrap.servers", servers).option(
+            "topic", spec.topic or spec.name
+        ).save()
+
+    return write
+
+
 # --- keyed tables on files -------------------------------------------------------------------
 
 
