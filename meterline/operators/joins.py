@@ -110,14 +110,17 @@ def asof_join(
     A small dimension with few versions per key is turned into validity intervals and broadcast.
     Any other is merged with the rows in time order, and the last version is carried forward:
     one sort, whatever the number of versions, and safe for a hot key (see ``plans.ordered``).
+    That second form is for tables: on a stream use it inside ``foreachBatch``.
     """
     used = versions.select(key, valid_from, sequence, *columns).where(
         F.col(key).isNotNull() & F.col(valid_from).isNotNull()
     )
     size = measure(used, [key])
     small = size.bytes <= broadcast_bytes and size.largest_key <= VERSIONS_PER_KEY
-    if small or df.isStreaming:
-        return _asof_by_interval(df, used, key, time, valid_from, sequence, columns, backfill, small)
+    if df.isStreaming and not small:
+        raise ValueError("too many versions to broadcast; call this inside foreachBatch")
+    if small:
+        return _asof_by_interval(df, used, key, time, valid_from, sequence, columns, backfill)
     if backfill:
         used = _first_from_beginning(used, key, valid_from, sequence)
     return _asof_by_merge(df, used, key, time, valid_from, sequence, columns, row_id, group_rows)
@@ -132,7 +135,6 @@ def _asof_by_interval(
     sequence: str,
     columns: list[str],
     backfill: bool,
-    small: bool,
 ) -> DataFrame:
     in_order = Window.partitionBy(key).orderBy(valid_from, sequence)
     start = F.col(valid_from)
@@ -145,14 +147,12 @@ def _asof_by_interval(
         F.lead(valid_from, 1).over(in_order).alias("_v_next"),
         *(F.col(c).alias(f"_v_{c}") for c in columns),
     ).withColumn("_v_to", or_default("_v_next", F.lit(_END).cast("timestamp")))
-    if small:
-        intervals = F.broadcast(intervals)
     match = (
         (F.col(key) == F.col("_v_key"))
         & (F.col(time) >= F.col("_v_from"))
         & (F.col(time) < F.col("_v_to"))
     )
-    return df.join(intervals, match, "left").select(
+    return df.join(F.broadcast(intervals), match, "left").select(
         *df.columns, *(F.col(f"_v_{c}").alias(c) for c in columns)
     )
 

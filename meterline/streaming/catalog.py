@@ -71,7 +71,7 @@ class Places:
             return sinks.topic_writer(spec, self.servers)
         if self.database and spec.key:
             return sinks.jdbc_upsert(spec, self.database)
-        return sinks.changelog(f"{self.out}/{name}")
+        return sinks.changelog(f"{self.out}/{name}", rebalance=bool(spec.key))
 
 
 Job = Callable[[Places], list[Output]]

@@ -63,19 +63,26 @@ def topic_writer(spec: TableSpec, servers: str) -> BatchWriter:
 # --- keyed tables on files -------------------------------------------------------------------
 
 
-def changelog(path: str, keys: Sequence[str] = (), sequence: Sequence[str] = ()) -> BatchWriter:
+def changelog(
+    path: str,
+    keys: Sequence[str] = (),
+    sequence: Sequence[str] = (),
+    rebalance: bool = False,
+) -> BatchWriter:
     """Keep each batch as one partition of a changelog.
 
     A repeated batch overwrites its own partition. Writing costs the batch only, however large
     the table is; ``current_rows`` gives the table itself. With ``sequence`` a batch is first
-    reduced to the last row per key.
+    reduced to the last row per key. ``rebalance`` suits aggregates, whose few rows would else be
+    spread over as many files as there are state partitions.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = to_sink_types(batch)
         if keys and sequence:
-            last = F.max_by(F.struct(*rows.columns), F.struct(*sequence))
-            rows = rows.groupBy(*keys).agg(last.alias("last")).select("last.*")
+            rows = _last_per_key(rows, keys, sequence)
+        if rebalance:
+            rows = rows.hint("rebalance")
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
@@ -90,7 +97,7 @@ def current_rows(
     spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]
 ) -> DataFrame:
     """The keyed table a changelog amounts to, one row per key."""
-    return _last_per_key(read_changelog(spark, path, schema), schema, keys)
+    return _last_row(read_changelog(spark, path, schema), schema, keys)
 
 
 def compact(
@@ -106,7 +113,7 @@ def compact(
     The old one is only read. Restart the stream on the new path; its batch ids go on from there.
     """
     log = read_changelog(spark, path, schema).where(F.col("batch_id") <= through)
-    _last_per_key(log, schema, keys).write.mode("overwrite").parquet(f"{into}/batch_id={through}")
+    _last_row(log, schema, keys).write.mode("overwrite").parquet(f"{into}/batch_id={through}")
 
 
 def batch_counts(path: str, by: Sequence[str]) -> BatchWriter:
@@ -126,9 +133,15 @@ def total_counts(spark: SparkSession, path: str, by: str) -> DataFrame:
     return log.groupBy(*schema.names).agg(F.sum("rows").alias("rows"))
 
 
-def _last_per_key(log: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    last = F.max_by(F.struct(*schema.names), "batch_id")
-    return log.groupBy(*keys).agg(last.alias("last")).select("last.*")
+def _last_row(log: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    # Should one batch hold a key twice, the choice between the two is at least a fixed one.
+    rest = [name for name in schema.names if name not in keys]
+    return _last_per_key(log, keys, ["batch_id", *rest]).select(*schema.names)
+
+
+def _last_per_key(rows: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    last = F.max_by(F.struct(*rows.columns), F.struct(*sequence))
+    return rows.groupBy(*keys).agg(last.alias("last")).select("last.*")
 
 
 def create_if_missing(spark: SparkSession, spec: TableSpec, path: str) -> None:
@@ -148,12 +161,15 @@ def create_if_missing(spark: SparkSession, spec: TableSpec, path: str) -> None:
 def jdbc_upsert(spec: TableSpec, url: str, **properties: str) -> BatchWriter:
     """Stage the batch from the executors, then move it over in one statement.
 
-    The statement is keyed, so a repeated batch changes nothing.
+    The statement is keyed, so a repeated batch changes nothing. It may not touch a row twice, so
+    the stage holds one row per key.
     """
+    rest = [name for name in spec.schema.names if name not in spec.key]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stage = f"{spec.name}_stage"
         rows = to_sink_types(batch).select(*spec.schema.names)
+        rows = _last_per_key(rows, spec.key, rest or spec.key)
         rows.write.option("truncate", True).jdbc(url, stage, "overwrite", properties)
         jdbc.execute(batch.sparkSession, url, jdbc.upsert_from(spec, stage), **properties)
 

@@ -1,0 +1,56 @@
+"""What the plans of the registered queries must and must not contain."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.01"
+QUERIES = entry.queries()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_and_no_python(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
+        assert operator not in plan
+
+
+def scan(plan):
+    return next(line for line in plan.splitlines() if "FileScan" in line and "event_id" in line)
+
+
+def test_filter_and_columns_reach_the_scan(spark):
+    line = scan(plan_of(QUERIES["filter_high_fare"](spark, SF)))
+    assert "GreaterThan(value,20.0)" in line
+    assert "struct<event_id:bigint,user_id:bigint,value:double>" in line
+
+
+def test_only_needed_columns_are_read(spark):
+    plan = plan_of(QUERIES["first_seen"](spark, SF))
+    assert "struct<ts:timestamp_ntz,user_id:bigint>" in plan
+    assert "ReadSchema: struct<>" in plan_of(QUERIES["row_count"](spark, SF))
+
+
+def test_rank_is_limited_before_the_shuffle(spark):
+    plan = plan_of(QUERIES["last_n"](spark, SF))
+    assert re.search(r"WindowGroupLimit.*Final", plan) and re.search(r"WindowGroupLimit.*Partial", plan)
+
+
+@pytest.mark.parametrize(
+    "name, shuffles",
+    [
+        ("filter_high_fare", 0), ("flatmap_zone_events", 0), ("zone_lookup", 0),
+        ("broadcast_enrich", 0), ("chained_enrich", 0),
+        ("hourly_revenue", 1), ("cumulative_counter", 1), ("last_n", 1), ("dedup", 1),
+        ("running_avg", 1), ("change_detection", 1), ("rate_alerts", 1),
+        ("sliding_average", 2), ("session_driver", 2), ("top_zones", 1),
+    ],
+)
+def test_shuffles(spark, name, shuffles):
+    assert plan_of(QUERIES[name](spark, SF)).count("Exchange hashpartitioning") == shuffles

@@ -129,6 +129,14 @@ def test_asof_with_static_versions(spark, tmp_path):
     ]
 
 
+def test_asof_refuses_to_broadcast_much(spark, tmp_path):
+    versions = spark.range(33).selectExpr("1 AS driver_id", "id AS seq", "id AS v",
+                                          "timestamp_seconds(id) AS since")
+    rides = stream(spark, tmp_path, BATCHES)
+    with pytest.raises(ValueError):
+        joins.asof_join(rides, versions, "driver_id", "event_time", "since", "seq", ["v"], "event_time")
+
+
 def trips(spark, tmp_path, how):
     def text(seconds):
         return at(seconds).isoformat()
