@@ -27,7 +27,8 @@ class Places:
 
     ``servers`` names a broker; without one ``folder`` holds a sub-folder of files per table.
     Results go to ``database`` if given, else to the broker if the result has a topic, else to
-    changelogs under ``out``. ``state`` is a shared folder for what jobs carry along.
+    changelogs under ``out``, where ``files_per_batch`` limits the files of keyed results.
+    ``state`` is a shared folder for what jobs carry along.
     """
 
     spark: SparkSession
@@ -39,6 +40,7 @@ class Places:
     database: str | None = None
     zones: DataFrame | None = None  # instead of the database's table
     max_per_trigger: int | None = None
+    files_per_batch: int | None = None
 
     def open(
         self, spec: TableSpec, starting: str, position: bool = False, watermark: bool = True
@@ -71,7 +73,8 @@ class Places:
             return sinks.topic_writer(spec, self.servers)
         if self.database and spec.key:
             return sinks.jdbc_upsert(spec, self.database)
-        return sinks.changelog(f"{self.out}/{name}", rebalance=bool(spec.key))
+        files = self.files_per_batch if spec.key else None
+        return sinks.changelog(f"{self.out}/{name}", files=files)
 
 
 Job = Callable[[Places], list[Output]]

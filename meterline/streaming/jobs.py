@@ -45,12 +45,14 @@ def start_all(
     return [start(output, checkpoints, once) for output in outputs]
 
 
-def await_all(queries: list[StreamingQuery], timeout: float) -> None:
-    """Wait until all have ended; stop them all if one fails or time runs out."""
-    deadline = time.monotonic() + timeout
+def await_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait until all have ended; stop them all if one fails or time (in seconds) runs out."""
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
         for query in queries:
-            if not query.awaitTermination(max(deadline - time.monotonic(), 0.001)):
+            if deadline is None:
+                query.awaitTermination()
+            elif not query.awaitTermination(max(deadline - time.monotonic(), 0.001)):
                 raise TimeoutError(f"{query.name} still running after {timeout} s")
     finally:
         for query in queries:

@@ -67,13 +67,13 @@ def changelog(
     path: str,
     keys: Sequence[str] = (),
     sequence: Sequence[str] = (),
-    rebalance: bool = False,
+    files: int | None = None,
 ) -> BatchWriter:
     """Keep each batch as one partition of a changelog.
 
     A repeated batch overwrites its own partition. Writing costs the batch only, however large
     the table is; ``current_rows`` gives the table itself. With ``sequence`` a batch is first
-    reduced to the last row per key. ``rebalance`` suits aggregates, whose few rows would else be
+    reduced to the last row per key. ``files`` suits aggregates, whose few rows would else be
     spread over as many files as there are state partitions.
     """
 
@@ -81,8 +81,8 @@ def changelog(
         rows = to_sink_types(batch)
         if keys and sequence:
             rows = _last_per_key(rows, keys, sequence)
-        if rebalance:
-            rows = rows.hint("rebalance")
+        if files:
+            rows = rows.repartition(files)
         rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write

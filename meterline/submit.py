@@ -22,6 +22,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--database", help="JDBC URL for keyed results and dimensions")
     parser.add_argument("--zones", help="parquet folder to take the zone dimension from")
     parser.add_argument("--max-per-trigger", type=int, help="records (topics) or files per batch")
+    parser.add_argument("--files-per-batch", type=int, help="files per batch of a keyed result")
     parser.add_argument("--once", action="store_true", help="process what is there, then stop")
     return parser.parse_args(arguments)
 
@@ -40,10 +41,11 @@ def main(arguments: list[str] | None = None) -> None:
         database=args.database,
         zones=spark.read.parquet(args.zones) if args.zones else None,
         max_per_trigger=args.max_per_trigger,
+        files_per_batch=args.files_per_batch,
     )
     queries = jobs.start_all(JOBS[args.job](places), checkpoints, args.once)
     if args.once:
-        jobs.await_all(queries, float("inf"))
+        jobs.await_all(queries)
     else:
         spark.streams.awaitAnyTermination()
 

@@ -69,6 +69,15 @@ def test_job(spark, tmp_path, folder, job):
         assert rows_of(spark.read.parquet(f"{tmp_path}/out/late_events"), "event_time") == [(at(10),)]
 
 
+def test_submit(spark, tmp_path, folder):
+    zones = str(tmp_path / "zones")
+    spark.createDataFrame([(1, "A")], "zone_id INT, zone_name STRING").write.parquet(zones)
+    out = str(tmp_path / "out")
+    submit.main(["enriched_rides", "--folder", folder, "--out", out, "--zones", zones,
+                 "--checkpoints", str(tmp_path / "cp"), "--max-per-trigger", "5", "--once"])
+    assert spark.read.parquet(f"{out}/enriched_rides").count() == 31
+
+
 def test_arguments():
     args = submit.parse(["minute_revenue", "--servers", "b:9092", "--out", "/o"])
     assert (args.job, args.servers, args.once) == ("minute_revenue", "b:9092", False)

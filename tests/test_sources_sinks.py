@@ -69,6 +69,14 @@ def test_changelog_is_a_keyed_table_and_replays_are_harmless(spark, tmp_path):
     assert sinks.read_changelog(spark, into, PAIR.schema).count() == 3
 
 
+def test_files_per_batch(spark, tmp_path):
+    rows = spark.range(100).repartition(8).selectExpr("cast(id as int) k", "'v' v", "id n")
+    sinks.changelog(str(tmp_path / "many"))(rows, 0)
+    sinks.changelog(str(tmp_path / "few"), files=2)(rows, 0)
+    assert len(list((tmp_path / "many/batch_id=0").glob("*.parquet"))) == 8
+    assert len(list((tmp_path / "few/batch_id=0").glob("*.parquet"))) == 2
+
+
 def test_batch_counts(spark, tmp_path):
     write = sinks.batch_counts(str(tmp_path), ["v"])
     df = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (3, "b", 1)], PAIR.schema)
