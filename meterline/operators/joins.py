@@ -319,6 +319,21 @@ def avg_trip_duration(trips: DataFrame) -> DataFrame:
     )
 
 
+def trip_duration_parts(trips: DataFrame) -> DataFrame:
+    """L5 on a stream: what a batch of trips adds to the average."""
+    return trips.groupBy("pickup_zone").agg(
+        F.count("*").alias("trips"), F.sum("duration_minutes").alias("minutes")
+    )
+
+
+def avg_from_duration_parts(parts: DataFrame) -> DataFrame:
+    """L5 from the parts of all batches."""
+    return parts.groupBy("pickup_zone").agg(
+        F.sum("trips").alias("trip_count"),
+        (F.sum("minutes") / F.sum("trips")).alias("avg_duration_minutes"),
+    )
+
+
 def long_trips(trips: DataFrame, minutes: int = 120) -> DataFrame:
     """Trips longer than ``minutes``. ``trips`` must be joined over a wider bound."""
     return trips.where(_longer_than(minutes))

@@ -86,9 +86,8 @@ def sliding_average(
         window = F.window("pane", size, slide).alias("w")
         count, average = F.sum("n"), F.sum("total") / F.sum("fares")
     else:
-        source, window = rides.withColumnsRenamed({v: k for k, v in ZONE.items()}), F.window(
-            "event_time", size, slide
-        ).alias("w")
+        source = rides.withColumnsRenamed({v: k for k, v in ZONE.items()})
+        window = F.window("event_time", size, slide).alias("w")
         count, average = F.count("*"), F.avg(fare)
     return (
         source.groupBy("zone_id", window)

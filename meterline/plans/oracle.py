@@ -382,6 +382,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT t.zone_id, total_trips, total_revenue,
                    COALESCE(zone_name, 'Unknown') AS zone_name
             FROM totals t LEFT JOIN taxi_zones z ON t.zone_id = z.zone_id"""),
+        "dashboard_named_stats": _sql(["rides", "taxi_zones"], f"""
+            SELECT PULocationID AS zone_id, {avg_fare} AS avg_fare,
+                   {avg_distance} AS avg_distance, COUNT(*) AS trip_count,
+                   COALESCE(ANY_VALUE(zone_name), 'Unknown') AS zone_name
+            FROM rides LEFT JOIN taxi_zones z ON PULocationID = z.zone_id GROUP BY 1"""),
         "late_observer": _sql(["observed"], "SELECT * FROM observed"),
         "late_side_output": _sql(["observed"], "SELECT * FROM observed WHERE status = 'LATE'"),
         "on_time_output": _sql(["observed"], "SELECT * FROM observed WHERE status = 'on-time'"),

@@ -241,6 +241,9 @@ def _queries() -> dict[str, Query]:
         "dashboard_named_totals": lambda s, sf: dashboard.named(
             views.rides(s, sf), views.taxi_zones(s, sf)
         )["dashboard_top_zones"],
+        "dashboard_named_stats": lambda s, sf: dashboard.named(
+            views.rides(s, sf), views.taxi_zones(s, sf)
+        )["dashboard_avg_stats"],
         # Late data (G, L6)
         "late_observer": _observed,
         "late_side_output": lambda s, sf: late.late_rows(_observed(s, sf)),

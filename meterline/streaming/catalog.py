@@ -17,7 +17,7 @@ from meterline.sources.specs import DRIVERS, DROPOFFS, PICKUPS, RESULTS, RIDES,
 from meterline.streaming import jobs, processors, sinks
 from meterline.streaming.enrich import BroadcastEnricher, tagged
 from meterline.streaming.jobs import Output
-from meterline.streaming.late import LateRouter
+from meterline.streaming.late import LateRouter, late_counts
 from meterline.streaming.sinks import BatchWriter
 
 
@@ -147,6 +147,27 @@ def _dashboard(places: Places) -> list[Output]:
     return jobs.dashboard_outputs(lambda: places.open(RIDES, topics.EARLIEST), places.sink)
 
 
+def _dashboard_trips(places: Places) -> list[Output]:
+    """L5, L7, L8 from one join. Its bound is a day: two-hour trips exceed the usual one."""
+    trips = joins.trip_join(
+        places.open(PICKUPS, topics.EARLIEST), places.open(DROPOFFS, topics.EARLIEST), "1 day"
+    )
+    write = sinks.fan_out(
+        (joins.trip_duration_parts, sinks.changelog(f"{places.out}/trip_duration_parts")),
+        (joins.long_trips, places.sink("long_trips")),
+        (joins.fraud_flags, places.sink("fraud_flags")),
+    )
+    return [Output("dashboard_trips", trips, write)]
+
+
+def _dashboard_late_events(places: Places) -> list[Output]:
+    """L6; ``late.total_late`` adds up what it writes."""
+    rides = places.open(RIDES, topics.EARLIEST, watermark=False)
+    counts = late_counts(f"{places.out}/dashboard_late_events")
+    router = LateRouter(f"{places.state}/dashboard_late_events", sinks.ignore, counts)
+    return [Output("dashboard_late_events", rides, router)]
+
+
 JOBS: dict[str, Job] = {
     "high_fare_rides": _of_rides("high_fare_rides", stateless.filter_high_fare, topics.LATEST),
     "rides_eur": _of_rides("rides_eur", stateless.map_to_eur, topics.LATEST),
@@ -173,4 +194,6 @@ JOBS: dict[str, Job] = {
     "driver_rides": _driver_rides,
     "zone_rides": _zone_rides,
     "dashboard": _dashboard,
+    "dashboard_trips": _dashboard_trips,
+    "dashboard_late_events": _dashboard_late_events,
 }

@@ -155,18 +155,46 @@ def create_if_missing(spark: SparkSession, spec: TableSpec, path: str) -> None:
         empty.write.mode("ignore").parquet(f"{path}/batch_id=-1")
 
 
+# --- several results of one stream -----------------------------------------------------------
+
+
+def fan_out(*branches: tuple[Callable[[DataFrame], DataFrame], BatchWriter]) -> BatchWriter:
+    """A11 for branches without state of their own: one scan, one state, several results.
+
+    The batch is held while it is written, for each write would else compute it again.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for operator, sink in branches:
+                sink(operator(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def ignore(batch: DataFrame, batch_id: int) -> None:
+    """A branch nobody asked for."""
+
+
 # --- keyed tables in a database --------------------------------------------------------------
 
 
 def jdbc_upsert(spec: TableSpec, url: str, **properties: str) -> BatchWriter:
-    """Stage the batch from the executors, then move it over in one statement.
+    """Stage the batch from the executors, then move it over in one statement.
 
-    The statement is keyed, so a repeated batch changes nothing. It may not touch a row twice, so
+    The table is created before the first batch if it is missing. The statement is keyed, so a repeated batch changes nothing. It may not touch a row twice, so
     the stage holds one row per key.
     """
     rest = [name for name in spec.schema.names if name not in spec.key]
+    ready: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if not ready:
+            jdbc.execute(batch.sparkSession, url, jdbc.create_table(spec), **properties)
+            ready.append(spec.name)
         stage = f"{spec.name}_stage"
         rows = to_sink_types(batch).select(*spec.schema.names)
         rows = _last_per_key(rows, spec.key, rest or spec.key)

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline import submit
-from meterline.operators import late
+from meterline.operators import joins, late
 from meterline.streaming import jobs
 from meterline.streaming.catalog import JOBS, Places
-from meterline.streaming.late import LateRouter
+from meterline.streaming.late import LateRouter, total_late
 from meterline.streaming.sinks import changelog
 from tests.streams import at, ms, ride, rows_of, write_batches
 
@@ -23,10 +23,13 @@ def folder(tmp_path_factory):
         [ride(20_000)],
         [ride(20_001)],
     )
-    trip = {"trip_id": "t", "pickup_zone": 1, "pickup_time": at(0).isoformat()}
-    write_batches(root / "pickups", [trip])
-    write_batches(root / "dropoffs", [{
-        "trip_id": "t", "dropoff_zone": 2, "dropoff_time": at(600).isoformat(), "fare": 9.0}])
+    pickup, dropoff = at(0).isoformat(), (at(600).isoformat(), at(9600).isoformat())
+    write_batches(root / "pickups", [
+        {"trip_id": "t", "pickup_zone": 1, "pickup_time": pickup},
+        {"trip_id": "slow", "pickup_zone": 1, "pickup_time": pickup}])
+    write_batches(root / "dropoffs", [
+        {"trip_id": "t", "dropoff_zone": 2, "dropoff_time": dropoff[0], "fare": 9.0},
+        {"trip_id": "slow", "dropoff_zone": 2, "dropoff_time": dropoff[1], "fare": 9.0}])
     write_batches(root / "drivers", [{"driver_id": 1, "name": "Ann", "rating": 4.9}])
     write_batches(root / "zones", [{"zone_id": 1, "zone_name": "A"}])
     return str(root)
@@ -57,8 +60,16 @@ def test_job(spark, tmp_path, folder, job):
     )
     outputs = JOBS[job](places)
     jobs.await_all(jobs.start_all(outputs, str(tmp_path / "cp"), once=True), 240)
-    for output in outputs:
-        assert spark.read.parquet(f"{tmp_path}/out/{output.name}").count() > 0
+    results = [output.name for output in outputs]
+    if job == "dashboard_trips":
+        results = ["trip_duration_parts", "long_trips", "fraud_flags"]
+        parts = spark.read.parquet(f"{tmp_path}/out/trip_duration_parts").drop("batch_id")
+        assert rows_of(joins.avg_from_duration_parts(parts)) == [(1, 2, 85.0)]
+    if job == "dashboard_late_events":
+        late_so_far = total_late(spark, f"{tmp_path}/out/dashboard_late_events")
+        assert rows_of(late_so_far) == [("late_events", 1)]
+    for name in results:
+        assert spark.read.parquet(f"{tmp_path}/out/{name}").count() > 0
     if job in EXPECTED:
         name, rows, fact = EXPECTED[job]
         result = spark.read.parquet(f"{tmp_path}/out/{name}")

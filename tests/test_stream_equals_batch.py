@@ -84,6 +84,9 @@ def test_windows_in_append_mode(spark, tmp_path, operator):
     [
         (state.cumulative_counter, ["zone_id"]),
         (state.max_fare_tracker, ["zone_id"]),
+        (state.min_fare_tracker, ["zone_id"]),
+        (state.zone_cumulative, ["zone_id"]),
+        (state.first_seen, ["driver_id"]),
         (state.avg_stats, ["zone_id"]),
         (state.processing_stats, ["stat_name"]),
         (windows.windowed_revenue, ["zone_id", "window_end"]),
