@@ -182,11 +182,14 @@ def ignore(batch: DataFrame, batch_id: int) -> None:
 # --- keyed tables in a database --------------------------------------------------------------
 
 
-def jdbc_upsert(spec: TableSpec, url: str, **properties: str) -> BatchWriter:
+def jdbc_upsert(
+    spec: TableSpec, url: str, connections: int = 16, **properties: str
+) -> BatchWriter:
     """Stage the batch from the executors, then move it over in one statement.
 
-    The table is created before the first batch if it is missing. The statement is keyed, so a repeated batch changes nothing. It may not touch a row twice, so
-    the stage holds one row per key.
+    The table is created before the first batch if it is missing. The statement is keyed, so a
+    repeated batch changes nothing; it may not touch a row twice, so the stage holds one row per
+    key. ``connections`` limits how many executors write at once.
     """
     rest = [name for name in spec.schema.names if name not in spec.key]
     ready: list[str] = []
@@ -198,7 +201,8 @@ def jdbc_upsert(spec: TableSpec, url: str, **properties: str) -> BatchWriter:
         stage = f"{spec.name}_stage"
         rows = to_sink_types(batch).select(*spec.schema.names)
         rows = _last_per_key(rows, spec.key, rest or spec.key)
-        rows.write.option("truncate", True).jdbc(url, stage, "overwrite", properties)
+        options = {"truncate": "true", "numPartitions": str(connections)}
+        rows.write.options(**options).jdbc(url, stage, "overwrite", properties)
         jdbc.execute(batch.sparkSession, url, jdbc.upsert_from(spec, stage), **properties)
 
     return write
