@@ -39,9 +39,8 @@ def tumbling_revenue(rides: DataFrame, size: str = "1 minute") -> DataFrame:
 
 def hourly_revenue(rides: DataFrame, size: str = "1 hour") -> DataFrame:
     """As E1, identified by the window's end."""
-    return tumbling(
-        rides, size, ZONE, [F.count("*").alias("trip_count"), F.sum("total_amount").alias("revenue")]
-    ).drop("window_start")
+    aggregates = [F.count("*").alias("trip_count"), F.sum("total_amount").alias("revenue")]
+    return tumbling(rides, size, ZONE, aggregates).drop("window_start")
 
 
 def windowed_revenue(rides: DataFrame, size: str = "1 minute") -> DataFrame:

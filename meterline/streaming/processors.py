@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -21,6 +21,11 @@ DRIVER, RIDE = 0, 1
 EMIT_PARTIAL, BUFFER, DROP_IF_OLD = "emit_partial", "buffer", "drop_if_old"
 
 
+def _micros(time: str) -> Column:
+    """A sort key that a row without a time does not upset."""
+    return F.coalesce(F.unix_micros(time), F.lit(0))
+
+
 # --- rides and drivers -----------------------------------------------------------------------
 
 
@@ -40,28 +45,37 @@ class DriverJoin(StatefulProcessor):
         self.pending = handle.getListState("pending", self.waiting)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # State is read and written once per call: each access is a round trip to the JVM.
+        before = driver = tuple(self.driver.get()) if self.driver.exists() else None
+        held: list[tuple] = []
         # At one instant the driver comes first.
         for row in sorted(rows, key=lambda r: (r["_us"], r["_side"])):
             now = row["_us"]
             if row["_side"] == DRIVER:
-                self.driver.update((row["_name"], row["_rating"]))
-                yield from self._flush(now)
+                # Rides only wait while the driver is unknown.
+                waiting, held = (self._waited() + held, []) if driver is None else ([], held)
+                driver = (row["_name"], row["_rating"])
+                yield from (self.row(*r[:-1], *driver) for r in waiting if self._in_time(r, now))
                 continue
             ride = tuple(row[name] for name in self.fields)
-            if self.driver.exists():
-                yield self.row(*ride, *self.driver.get())
+            if driver is not None:
+                yield self.row(*ride, *driver)
             elif self.policy == EMIT_PARTIAL:
                 yield self.row(*ride, None, None)
             else:
-                self.pending.appendValue((*ride, now))
-                if self.policy == DROP_IF_OLD:
-                    self.handle.registerTimer(now // 1000 + self.wait_ms + 1)
+                held.append((*ride, now))
+        if driver != before:
+            self.driver.update(driver)
+        if held:
+            self.pending.appendList(held)
+            if self.policy == DROP_IF_OLD:
+                for due in {ride[-1] // 1000 + self.wait_ms + 1 for ride in held}:
+                    self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Forget the rides that have waited too long."""
         now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        kept = [tuple(r) for r in self.pending.get() if self._in_time(r, now)]
-        self.pending.clear()
+        kept = [ride for ride in self._waited() if self._in_time(ride, now)]
         if kept:
             self.pending.put(kept)
         return iter(())
@@ -69,14 +83,13 @@ class DriverJoin(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _flush(self, now: int) -> Iterator[Row]:
+    def _waited(self) -> list[tuple]:
+        """Take the waiting rides out of the state."""
         if not self.pending.exists():
-            return
-        driver = self.driver.get()
-        for ride in self.pending.get():
-            if self._in_time(ride, now):
-                yield self.row(*tuple(ride)[:-1], *driver)
+            return []
+        rides = [tuple(ride) for ride in self.pending.get()]
         self.pending.clear()
+        return rides
 
     def _in_time(self, ride, now: int) -> bool:
         return self.policy != DROP_IF_OLD or now - ride[-1] <= self.wait_ms * 1000
@@ -111,7 +124,7 @@ def join_drivers(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"),
     )
     both = left.unionByName(right, allowMissingColumns=True).withColumn(
-        "_us", F.unix_micros("event_time")
+        "_us", _micros("event_time")
     )
     output = StructType(list(keyed.schema.fields)).add("driver_name", "string").add(
         "driver_rating", "double"
@@ -152,7 +165,7 @@ class LastN(StatefulProcessor):
 
 def last_n(rides: DataFrame, key: str, columns: list[str], n: int = 5) -> DataFrame:
     """F5 on a stream, for an upsert sink keyed by (key, recency)."""
-    items = rides.select(key, *columns, F.unix_micros("event_time").alias("_us"))
+    items = rides.select(key, *columns, _micros("event_time").alias("_us"))
     item = StructType([items.schema[c] for c in columns])
     output = StructType([items.schema[key]]).add("recency", "integer")
     for field in item.fields:
@@ -171,12 +184,12 @@ class ChangeDetector(StatefulProcessor):
         self.previous = handle.getValueState("previous", f"value {self.value_type}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = tuple(self.previous.get()) if self.previous.exists() else None
         for row in sorted(rows, key=lambda r: r["us"]):
-            if self.previous.exists():
-                before = self.previous.get()[0]
-                if before != row["value"]:
-                    yield self.row(*key, row["event_time"], before, row["value"])
-            self.previous.update((row["value"],))
+            if before is not None and before[0] != row["value"]:
+                yield self.row(*key, row["event_time"], before[0], row["value"])
+            before = (row["value"],)
+        self.previous.update(before)
 
     def close(self) -> None:
         pass
@@ -185,7 +198,7 @@ class ChangeDetector(StatefulProcessor):
 def detect_changes(rides: DataFrame, key: str, value: str) -> DataFrame:
     """F8 on a stream."""
     rows = rides.select(
-        key, "event_time", F.unix_micros("event_time").alias("us"), F.col(value).alias("value")
+        key, "event_time", _micros("event_time").alias("us"), F.col(value).alias("value")
     )
     kind = rows.schema["value"].dataType
     output = (
@@ -211,16 +224,22 @@ class RateVerdict(StatefulProcessor):
         self.counts = handle.getMapState("counts", "window_ms long", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        counts: dict[int, int] = {}
         for row in sorted(rows, key=lambda r: r["us"]):
-            window = (row["window_ms"],)
-            if self.counts.containsKey(window):
-                n = self.counts.getValue(window)[0] + 1
-            else:
-                n = 1
-                self.handle.registerTimer(row["window_ms"] + self.width_ms)
-            self.counts.updateValue(window, (n,))
-            verdict = "allow" if n <= self.limit else "throttle"
-            yield self.row(*key, row["event_time"], n, verdict)
+            window = row["window_ms"]
+            if window not in counts:
+                counts[window] = self._count_so_far(window)
+            counts[window] += 1
+            verdict = "allow" if counts[window] <= self.limit else "throttle"
+            yield self.row(*key, row["event_time"], counts[window], verdict)
+        for window, n in counts.items():
+            self.counts.updateValue((window,), (n,))
+
+    def _count_so_far(self, window: int) -> int:
+        if self.counts.containsKey((window,)):
+            return self.counts.getValue((window,))[0]
+        self.handle.registerTimer(window + self.width_ms)
+        return 0
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Forget the window that has ended."""

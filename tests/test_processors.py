@@ -75,6 +75,12 @@ def test_ride_without_driver_has_key_zero(spark, tmp_path):
     assert got == [(0, 5.0, "pool", 4.9)]
 
 
+def test_ride_without_a_time_is_kept(spark, tmp_path):
+    timeless = ride(0, fare=5.0) | {"tpep_pickup_datetime": None}
+    got = join(spark, tmp_path, [[timeless]], [[driver(0)]], "buffer")
+    assert got == [(1, 5.0, "Ann", 4.9)]
+
+
 def test_drop_if_old(spark, tmp_path):
     rides = [[ride(0, fare=1.0), ride(3000, fare=2.0)], [ride(3000, fare=7.0, driver=5)]]
     drivers = [[driver(0, key=9)], [driver(3660)]]
