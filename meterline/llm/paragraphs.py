@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from meterline.llm.common import SPACES, settle
 from meterline.llm.components import components
@@ -25,7 +26,7 @@ SIMILAR = 0.8
 # A pair at 0.8 shares one of 16 bands of 4 with probability 1 - (1 - 0.8**4)**16 > 0.9997.
 BANDS, ROWS = 16, 4
 
-_FOUND = "para int, n_words int, digest binary"
+_FOUND = "para integer, n_words integer, digest binary"
 
 
 def paragraphs_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, list[bytes]]]:
@@ -62,7 +63,7 @@ def found_paragraphs(
     for column in _FOUND.split(", "):
         schema = schema.add(*column.split())
     if with_shingles:
-        schema = schema.add("shingles", "array<long>")
+        schema = schema.add("shingles", ArrayType(LongType()))
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
