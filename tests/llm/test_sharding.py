@@ -1,0 +1,80 @@
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from meterline.llm import queries, sharding
+
+SF = "/root/testdata/sf0.001"
+
+
+def check(docs, result, shards):
+    want = sorted(((d, len((t or "").encode()) + 8) for d, t in docs), key=str)
+    assert sorted(((r["doc_id"], r["size"]) for r in result), key=str) == want
+    slots, of_text, sizes = defaultdict(list), {}, [0] * shards
+    for r in result:
+        assert 0 <= r["shard"] < shards
+        slots[r["shard"]].append(r["slot"])
+        sizes[r["shard"]] += r["size"]
+        assert of_text.setdefault(r["text"] or "", r["shard"]) == r["shard"]
+    for places in slots.values():
+        assert sorted(places) == list(range(len(places)))
+    return sizes
+
+
+def fewest(sizes, capacity):
+    count, fill = 1, 0
+    for s in sizes:
+        if fill + s > capacity:
+            count, fill = count + 1, 0
+        fill += s
+    return count
+
+
+@pytest.mark.parametrize("shards", [1, 3, 24])
+def test_capacity_is_the_smallest(spark, shards):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    from pyspark.sql import functions as F
+
+    cell = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 64 - sharding.CELL_BITS)
+    cells = [tuple(r) for r in docs.groupBy(cell.alias("c")).agg(
+        F.sum(F.octet_length("text") + 8)).orderBy("c").collect()]
+    result = sharding.shard_by_bytes(docs, shards)
+    plain = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    sizes = check(plain, result.collect(), shards)
+    own, rest = 0, sum(s for _, s in cells)
+    for size in sorted((s for _, s in cells), reverse=True):
+        if own == shards - 1 or size * (shards - own) <= rest:
+            break
+        own, rest = own + 1, rest - size
+    large = sorted(cells, key=lambda x: (-x[1], x[0]))[:own]
+    small = [s for c, s in cells if (c, s) not in large]
+    top = max(sizes[: shards - own])
+    assert fewest(small, top) <= shards - own and fewest(small, top - 1) > shards - own
+
+
+def test_query_columns(spark):
+    result = queries.op7_sharding(spark, SF)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in result.collect():
+        assert r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode())
+        assert (r["law"], r["grown_shard"]) == ("bytes", None)
+    assert "Python" not in result._jdf.queryExecution().toString()
+
+
+def test_hot_text_and_large_groups(spark):
+    rng = random.Random(1)
+    docs = [(i, "hot text " * 10 if i % 3 == 0 else f"text {i} " * rng.randrange(1, 30))
+            for i in range(3000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sizes = check(docs, sharding.shard_by_bytes(df, 8).collect(), 8)
+    hot = sum(len(t) + 8 for _, t in docs if t.startswith("hot"))
+    rest = sorted(sizes)[:-1] if hot > sum(sizes) / 8 else sizes
+    assert max(rest) - min(rest) < 0.05 * max(rest)
+
+
+def test_odd_documents(odd_docs, no_docs):
+    result = sharding.shard_by_bytes(odd_docs, 4)
+    check([tuple(r) for r in odd_docs.select("doc_id", "text").collect()], result.collect(), 4)
+    assert sharding.shard_by_bytes(no_docs, 4).count() == 0

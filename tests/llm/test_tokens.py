@@ -1,0 +1,53 @@
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from meterline.llm import queries, tokens
+from meterline.llm.vocab import public_path
+from tests.llm.conftest import rows
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def brute(docs, name="word_bpe_49k.json"):
+    library = Tokenizer.from_file(public_path(name))
+    out = []
+    for d, t in docs:
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        out.append((d, len((t or "").encode()), n, n > 2048))
+    return sorted(out, key=lambda t: [str(x) for x in t])
+
+
+def plain(df):
+    return [tuple(r) for r in df.select("doc_id", "text").collect()]
+
+
+def test_query_on_given_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert rows(queries.op10_token_counts(spark, SF), *COLUMNS) == brute(plain(docs))
+
+
+def test_odd_documents(odd_docs, no_docs, tmp_path):
+    found = tokens.count_tokens(odd_docs, f"{tmp_path}/a")
+    assert rows(found, *COLUMNS) == brute(plain(odd_docs))
+    assert tokens.count_tokens(no_docs, f"{tmp_path}/b").count() == 0
+
+
+def test_only_distinct_misses_are_appended(spark, tmp_path):
+    cache = f"{tmp_path}/cache"
+    first = spark.createDataFrame([(i, f"text {i % 4}") for i in range(40)]
+                                  + [(50, " text\t 1 ")], "doc_id long, text string")
+    assert rows(tokens.count_tokens(first, cache), *COLUMNS) == brute(plain(first))
+    assert spark.read.parquet(cache).count() == 4
+    more = first.unionByName(spark.createDataFrame([(60, "new one")], first.schema))
+    assert rows(tokens.count_tokens(more, cache), *COLUMNS) == brute(plain(more))
+    stored = spark.read.parquet(cache)
+    assert stored.count() == 5
+    # A stored count is used as it is, so nothing known was encoded again.
+    changed = f"{tmp_path}/changed"
+    stored.withColumn("n_tokens", F.lit(7).cast("long")).write.parquet(changed)
+    assert {r["n_tokens"] for r in tokens.count_tokens(more, changed).collect()} == {7}
+    # Another tokenizer has entries of its own.
+    byte = tokens.count_tokens(more, cache, tokenizer="byte_bpe_50k.json", normalise=lambda c: c)
+    assert rows(byte, *COLUMNS) == brute(plain(more), "byte_bpe_50k.json")
+    assert spark.read.parquet(cache).count() == 11

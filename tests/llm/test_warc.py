@@ -1,0 +1,70 @@
+import base64
+import gzip
+import hashlib
+from collections import defaultdict
+
+from meterline.llm import queries, warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def brute(pages, least=0):
+    groups = defaultdict(list)
+    for page_id, html in pages:
+        payload = (html or "").encode()
+        groups[payload].append(page_id)
+    out = []
+    for payload, ids in groups.items():
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        best = max(ids, key=lambda i: (i is not None, i or 0))
+        first = True
+        for i in sorted(ids, key=lambda i: (i is not None, i or 0), reverse=True):
+            revisit = len(payload) >= least and not first
+            out.append((i, len(payload), digest, "revisit" if revisit else "response",
+                        best if revisit else None))
+            first = False
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted(map(tuple, df.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()),
+        key=str)
+
+
+def test_query_on_given_pages(spark):
+    sf = "/root/testdata/sf0.001"
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet")
+             .select("page_id", "html").collect()]
+    assert found(queries.op1_warc_revisits(spark, sf)) == brute(pages)
+
+
+def test_odd_pages(spark, tmp_path):
+    crlf = "a\r\n\r\nWARC/1.1\r\n\r\nb"
+    rows = [(1, "http://a/\r\nX: y", "same"), (2, None, "same"), (9, "u", "same"), (3, "u", None),
+            (4, "u", ""), (5, "u", crlf), (None, "u", "same"), (6, "u", "é" * 200_000),
+            (7, "ü", "z"), (7, "ü", "z")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], PAGES + ", record_type string")
+    result = warc.deduplicated_archives(df.repartition(3), f"file://{tmp_path}")
+    assert found(result) == brute([(a, c) for a, _, c in rows])
+    small = warc.deduplicated_archives(df, f"file://{tmp_path}/b", least_bytes=4)
+    assert found(small) == brute([(a, c) for a, _, c in rows], least=4)
+    # Any gzip reader sees the archives, one member after the other.
+    files = {r["path"] for r in result.collect()}
+    texts = [gzip.open(f.removeprefix("file://")).read() for f in files]
+    assert sum(t.count(b"WARC-Type: revisit") for t in texts) == 5
+    assert all(t.startswith(b"WARC/1.1\r\n") for t in texts)
+
+
+def test_offsets_are_member_starts(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", f"page {i % 3}") for i in range(20)], PAGES)
+    for r in warc.deduplicated_archives(df, str(tmp_path)).collect():
+        with open(r["path"], "rb") as file:
+            file.seek(r["offset"])
+            _, headers, _ = next(warc.records(file))
+        assert headers["WARC-Record-ID"] == f"<{r['record_id']}>"
+        assert headers["WARC-Page-ID"] == str(r["page_id"])
+
+
+def test_no_pages(spark):
+    assert warc.deduplicated_archives(spark.createDataFrame([], PAGES)).count() == 0
