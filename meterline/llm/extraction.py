@@ -95,7 +95,8 @@ def parse(page: str | None) -> Node:
         if not tag:
             continue
         if token[1]:
-            _close(stack, tag)
+            if not _close(stack, tag) and tag == "p":
+                stack[-1].children.append(Node("p"))
             continue
         if tag in CLOSES_P:
             _close_within(stack, {"p"}, {"button", "table", "td", "th", "caption"})
@@ -115,14 +116,15 @@ def parse(page: str | None) -> Node:
     return root
 
 
-def _close(stack: list[Node], tag: str) -> None:
-    """End tag: close up to the element it names; one that names none is ignored."""
+def _close(stack: list[Node], tag: str) -> bool:
+    """End tag: close up to the element it names, not beyond a table cell; whether it names one."""
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag == tag:
             del stack[i:]
-            return
-        if stack[i].tag in ("td", "th", "table") and tag in ("p", "b", "i", "a", "span", "em"):
-            return
+            return True
+        if stack[i].tag in ("td", "th") and tag not in ("tr", "tbody", "thead", "tfoot", "table"):
+            return False
+    return False
 
 
 def _close_within(stack: list[Node], tags: set[str], stops: set[str]) -> None:

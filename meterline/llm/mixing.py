@@ -48,7 +48,7 @@ def sainte_lague(parties: DataFrame, groups: list[str], votes: str, seats, order
     votes gives no seats.
     """
     group = Window.partitionBy(*groups)
-    share = F.col(votes) / F.sum(votes).over(group)
+    share = F.try_divide(F.col(votes), F.sum(votes).over(group))
     half = F.count(F.lit(1)).over(group) / 2
     low = F.floor(share * (F.col("__seats") - half) + 0.5)
     high = F.ceil(share * (F.col("__seats") + half) + 0.5)
@@ -158,9 +158,7 @@ def mix(
         F.array(_span(F.lit(0), wrapped), _span(F.col("__first"), end)),
         lambda s: s["to"] > s["from"],
     )
-    partial = F.aggregate(
-        "spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"]
-    )
+    partial = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
     return (
         laid.withColumn("spans", spans)
         .withColumn("taken", F.col("copies") * F.col("size") + partial)
@@ -188,8 +186,9 @@ def mixed_texts(mixed: DataFrame) -> DataFrame:
     Takes the result of ``mix``; its columns stay and ``text`` is what is taken. White space
     after a word stays with it. Documents of which nothing is taken give no row.
     """
+    none = F.lit(None).cast("struct<from:long,to:long>")
     whole = mixed.withColumn(
-        "__part", F.explode(F.array_repeat(F.lit(None).cast("struct<from:long,to:long>"), F.col("copies").cast("int")))
+        "__part", F.explode(F.array_repeat(none, F.col("copies").cast("int")))
     )
     cut = mixed.withColumn("__part", F.explode("spans"))
     pieces = F.regexp_extract_all("text", F.lit(f"{WORD}{_SPACES}"), F.lit(0))

@@ -77,8 +77,8 @@ def test_short_queries_fall_back_to_all(spark):
 def test_equal_vectors_ties_and_unusable_ones(spark):
     base = [1.0, 0.5, -0.25, 0.0]
     rows = [(i, base) for i in range(60)] + [(100, [0.5, 0.5, 0.5, 0.5]), (101, [-1.0, 0.0, 0.0, 0.0])]
-    bad = [(200, None), (220, []), (240, [0.0] * 4), (260, [float("nan"), 1, 1, 1]),
-           (280, [math.inf, 0, 0, 0]), (300, [1.0, None, 1.0, 1.0]), (320, [1.0, 2.0]), (None, base)]
+    bad = [(200, None), (220, []), (240, [0.0] * 4), (260, [float("nan"), 1.0, 1.0, 1.0]),
+           (280, [math.inf, 0.0, 0.0, 0.0]), (300, [1.0, None, 1.0, 1.0]), (320, [1.0, 2.0]), (None, base)]
     df = spark.createDataFrame([(*r, 1) for r in rows + bad + rows[:3]], SCHEMA + ", rank int")
     got = found(neighbours.nearest(df, F.col("vec_id") % 20 == 0))
     assert got == brute(rows, lambda i: i % 20 == 0)
