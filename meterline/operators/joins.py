@@ -13,11 +13,9 @@ from meterline.functions.scalars import (
     or_unknown,
     seconds_between,
 )
-from meterline.plans.ordered import Running, running
-from meterline.plans.sizing import BROADCAST_BYTES, GROUP_ROWS, broadcast_when_small, measure
+from meterline.plans.ordered import CELL, Running, running
+from meterline.plans.sizing import broadcast_when_small
 
-# A broadcast as-of join tries every version of a key for each row, so few are allowed.
-VERSIONS_PER_KEY = 32
 _BEGINNING = "0001-01-01 00:00:00"
 _END = "9999-12-31 00:00:00"
 
@@ -98,8 +96,7 @@ def asof_join(
     columns: list[str],
     row_id: str,
     backfill: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    group_rows: int = GROUP_ROWS,
+    cell: str = CELL,
 ) -> DataFrame:
     """Each row with the version of its key in force at its time, or NULLs.
 
@@ -107,23 +104,20 @@ def asof_join(
     the higher ``sequence`` counts. ``backfill`` lets a key's first version hold from the
     beginning, so that rows older than it get it too.
 
-    A small dimension with few versions per key is turned into validity intervals and broadcast.
-    Any other is merged with the rows in time order, and the last version is carried forward:
-    one sort, whatever the number of versions, and safe for a hot key (see ``plans.ordered``).
-    That second form is for tables: on a stream use it inside ``foreachBatch``.
+    Tables of any size are merged with the versions in time order, and the last version is
+    carried forward from one time cell to the next: safe for a hot key and for many versions (see
+    ``plans.ordered``). A stream is joined to validity intervals by key, whatever the number of
+    versions; Spark picks the join by their size in every micro-batch. Inside ``foreachBatch``
+    rows are a table, and get the first form.
     """
     used = versions.select(key, valid_from, sequence, *columns).where(
         F.col(key).isNotNull() & F.col(valid_from).isNotNull()
     )
-    size = measure(used, [key])
-    small = size.bytes <= broadcast_bytes and size.largest_key <= VERSIONS_PER_KEY
-    if df.isStreaming and not small:
-        raise ValueError("too many versions to broadcast; call this inside foreachBatch")
-    if small:
+    if df.isStreaming:
         return _asof_by_interval(df, used, key, time, valid_from, sequence, columns, backfill)
     if backfill:
         used = _first_from_beginning(used, key, valid_from, sequence)
-    return _asof_by_merge(df, used, key, time, valid_from, sequence, columns, row_id, group_rows)
+    return _asof_by_merge(df, used, key, time, valid_from, sequence, columns, row_id, cell)
 
 
 def _asof_by_interval(
@@ -152,7 +146,7 @@ def _asof_by_interval(
         & (F.col(time) >= F.col("_v_from"))
         & (F.col(time) < F.col("_v_to"))
     )
-    return df.join(F.broadcast(intervals), match, "left").select(
+    return df.join(intervals, match, "left").select(
         *df.columns, *(F.col(f"_v_{c}").alias(c) for c in columns)
     )
 
@@ -177,7 +171,7 @@ def _asof_by_merge(
     sequence: str,
     columns: list[str],
     row_id: str,
-    group_rows: int,
+    cell: str,
 ) -> DataFrame:
     version = F.struct(*columns).alias("_version")
     kind = versions.select(version).schema["_version"].dataType
@@ -203,7 +197,7 @@ def _asof_by_merge(
         ["_key"],
         ["_time", "_side", "_seq"],
         [Running("_current", "last", F.col("_version"))],
-        group_rows,
+        cell,
     )
     return filled.where(F.col("_side") == 1).select(
         "_row.*", *(F.col(f"_current.{c}").alias(c) for c in columns)
@@ -362,8 +356,7 @@ def driver_join(
     updates: DataFrame,
     policy: str = "buffer",
     max_wait: str = "1 hour",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    group_rows: int = GROUP_ROWS,
+    cell: str = CELL,
 ) -> DataFrame:
     """Rides with their driver, as if both had arrived in event-time order.
 
@@ -385,8 +378,7 @@ def driver_join(
         columns=["driver_name", "driver_rating", "_since"],
         row_id="event_id",
         backfill=policy != "emit_partial",
-        broadcast_bytes=broadcast_bytes,
-        group_rows=group_rows,
+        cell=cell,
     )
     if policy == "buffer":
         joined = joined.where(F.col("_since").isNotNull())

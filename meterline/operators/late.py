@@ -2,7 +2,7 @@
 
 Before each row the watermark is the highest event time that arrived earlier, minus a delay; the
 first row has none. That running maximum goes over the whole table in arrival order, so it is
-formed in chunks (see ``plans.ordered``), never in one task. The stream form, where the watermark
+formed in time cells (see ``plans.ordered``), never in one task. The stream form, where the watermark
 moves between micro-batches, is ``meterline.streaming.late``.
 """
 
@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.durations import interval
-from meterline.plans.ordered import Running, running
-from meterline.plans.sizing import GROUP_ROWS
+from meterline.plans.ordered import CELL, Running, running
 
 ON_TIME, LATE = "on-time", "LATE"  # fixed values
 
@@ -22,16 +21,16 @@ def with_watermark(
     rides: DataFrame,
     order: list[str],
     delay: str = "5 seconds",
-    group_rows: int = GROUP_ROWS,
+    cell: str = CELL,
     generator: Column | None = None,
 ) -> DataFrame:
     """Add the ``watermark`` each row meets on arrival.
 
     ``generator`` (G3) replaces the event time as what moves the watermark, for instance by the
-    time of marker rows and NULL on others.
+    time of marker rows and NULL on others. ``order`` starts with the time of arrival.
     """
     moves = F.col("event_time") if generator is None else generator
-    seen = running(rides, [], order, [Running("_max", "max", moves, before=True)], group_rows)
+    seen = running(rides, [], order, [Running("_max", "max", moves, before=True)], cell)
     return seen.withColumn("watermark", F.col("_max") - interval(delay)).drop("_max")
 
 

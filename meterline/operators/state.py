@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.operators.windows import ZONE
-from meterline.plans.ordered import Running, running
-from meterline.plans.sizing import GROUP_ROWS
+from meterline.plans.ordered import CELL, Running, running
 
 
 def _zone() -> Column:
@@ -99,7 +98,7 @@ def last_n(
     return df.withColumn(rank, F.row_number().over(newest)).where(F.col(rank) <= n)
 
 
-def running_average(rides: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def running_average(rides: DataFrame, cell: str = CELL) -> DataFrame:
     """each ride with its zone's average fare so far."""
     fares = rides.select("event_id", _zone(), "event_time", F.col("total_amount").alias("fare"))
     seen = running(
@@ -110,7 +109,7 @@ def running_average(rides: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame
             Running("total", "sum", F.col("fare")),
             Running("fares", "sum", F.col("fare").isNotNull().cast("long")),
         ],
-        group_rows,
+        cell,
     )
     return seen.select(
         "event_id",
@@ -131,12 +130,12 @@ def change_detection(
     keys: list[str],
     value: str,
     order: list[str],
-    group_rows: int = GROUP_ROWS,
+    cell: str = CELL,
 ) -> DataFrame:
     """F8: rows whose value differs from the key's previous one; a first row is no change."""
     # A struct is never NULL, so a previous value of NULL is still the previous value.
     previous = Running("_previous", "last", F.struct(F.col(value).alias("v")), before=True)
-    seen = running(df.select(*keys, *order, value), keys, order, [previous], group_rows)
+    seen = running(df.select(*keys, *order, value), keys, order, [previous], cell)
     return (
         seen.where(
             F.col("_previous").isNotNull() & ~F.col(value).eqNullSafe(F.col("_previous.v"))
@@ -151,7 +150,7 @@ def change_detection(
 
 
 def rate_verdicts(
-    rides: DataFrame, size: str = "1 minute", limit: int = 20, group_rows: int = GROUP_ROWS
+    rides: DataFrame, size: str = "1 minute", limit: int = 20, cell: str = CELL
 ) -> DataFrame:
     """each ride, in order, allowed or throttled by its zone's count in the window so far."""
     placed = rides.select(
@@ -165,7 +164,7 @@ def rate_verdicts(
         ["zone_id", "window_start"],
         ["event_time", "event_id"],
         [Running("nth_in_window", "count")],
-        group_rows,
+        cell,
     )
     verdict = F.when(F.col("nth_in_window") <= limit, "allow").otherwise("throttle")
     return counted.withColumn("verdict", verdict)

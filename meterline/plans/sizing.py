@@ -1,39 +1,17 @@
-"""Size checks that decide between physical strategies.
+"""Size check before a broadcast.
 
-A broadcast or a one-task group is only safe below a size, and both may grow with the data, so
-each is measured by one aggregate over the few columns concerned before it is chosen.
+A broadcast is only safe below a size that may grow with the data, so it is measured by one
+aggregate over the few columns concerned before it is chosen.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
 # Well under both Spark's 8 GB broadcast limit and a small executor's heap.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rows one task may hold as a single window group.
-GROUP_ROWS = 1_000_000
-
-
-@dataclass(frozen=True)
-class Size:
-    rows: int
-    bytes: int
-    largest_key: int
-
-
-def measure(df: DataFrame, keys: list[str]) -> Size:
-    """Row count, estimated in-memory bytes and the row count of the largest key."""
-    row = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.sum(_row_bytes(df)).alias("b"))
-        .agg(F.sum("n").alias("rows"), F.sum("b").alias("bytes"), F.max("n").alias("top"))
-        .first()
-    )
-    return Size(row["rows"] or 0, row["bytes"] or 0, row["top"] or 0)
 
 
 def broadcast_when_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -46,14 +24,6 @@ def broadcast_when_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFra
     return F.broadcast(df) if total <= limit else df
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; counts are combined before the shuffle."""
-    if not keys:
-        return df.count()
-    top = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("top")).first()
-    return top["top"] or 0
-
-
 def _row_bytes(df: DataFrame) -> Column:
     return sum((_cell_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(16))
 

@@ -81,7 +81,7 @@ def arrivals(spark, *rows):
 
 def test_lateness_edges_on_a_table(spark):
     rows = [(10.0, 1.0), (305.0, 2.0), (20.0, 4.0), (905.0, 8.0), (30.0, 16.0), (300.0, 32.0)]
-    met = late.with_watermark(arrivals(spark, *rows), ["arrival_time"], group_rows=10)
+    met = late.with_watermark(arrivals(spark, *rows), ["arrival_time"], cell="2 seconds")
     observed = late.late_observer(met)
     assert [r["status"] for r in observed.orderBy("proc_time").collect()] == [
         "on-time", "on-time", "LATE", "on-time", "LATE", "LATE",

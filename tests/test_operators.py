@@ -238,10 +238,10 @@ def driver_rows(spark):
     return left, updates
 
 
-@pytest.mark.parametrize("group_rows, broadcast", [(1000, 10**9), (-1, -1)])
-def test_driver_policies(spark, group_rows, broadcast):
+@pytest.mark.parametrize("cell", ["1 second", "1 minute", "365 days"])
+def test_driver_policies(spark, cell):
     def names(policy):
-        got = joins.driver_join(*driver_rows(spark), policy, "1 hour", broadcast, group_rows)
+        got = joins.driver_join(*driver_rows(spark), policy, "1 hour", cell)
         return {r.total_amount: r.driver_name for r in got.collect()}
 
     # Of two updates from one instant a waiting ride is flushed by the first.

@@ -3,12 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
-from meterline.operators import joins
-from meterline.plans import ordered, sizing
+from meterline.plans import oracle
+from meterline.plans.queries import registered
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.01"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registered(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -27,24 +28,6 @@ def test_equals_sql(spark, duck, name):
     assert df.columns, name
 
 
-@pytest.mark.parametrize(
-    "name",
-    [
-        "running_avg", "change_detection", "rate_verdict_per_event", "late_observer",
-        "allowed_lateness", "late_count", "zone_asof", "driver_buffer_join",
-        "driver_drop_if_old", "driver_emit_partial",
-    ],
-)
-def test_plans_for_large_input_equal_sql(spark, duck, monkeypatch, name):
-    """The same queries as if every table were too large for one task or a broadcast."""
-    huge = sizing.Size(rows=10**15, bytes=10**15, largest_key=10**15)
-    monkeypatch.setattr(ordered, "largest_group", lambda df, keys: huge.largest_key)
-    monkeypatch.setattr(joins, "measure", lambda df, keys: huge)
-    df = QUERIES[name](spark, SF)
-    assert "_chunk" in df._jdf.queryExecution().executedPlan().toString()
-    assert compare(df, duck.sql(SQL[name])) is None
-
-
 def test_entry_is_stable(spark):
     df = entry.entry(spark)
     assert df.columns == ["zone_id", "window_end", "trip_count", "revenue"]

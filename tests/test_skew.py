@@ -1,17 +1,19 @@
 """The plans for large or hot inputs give what the plans for small ones give."""
 
 import os
+from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterline.operators import joins, late, state, windows
 from meterline.plans import sizing
 from meterline.plans.ordered import Running, running
-from meterline.plans.shared import drop_materialized, shared_dir
+from meterline.plans.shared import drop_materialized, materialize, shared_dir
 from tests.streams import rows_of
 
-ALWAYS_SPLIT = -1
+ONE_CELL, MANY_CELLS = "36500 days", "7 seconds"
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,7 @@ def hot(spark):
 
 
 def both(make):
-    small, split = make(sizing.GROUP_ROWS), make(ALWAYS_SPLIT)
+    small, split = make(ONE_CELL), make(MANY_CELLS)
     assert split.columns == small.columns
     as_set = lambda df: sorted(map(str, df.collect()))
     assert as_set(split) == as_set(small)
@@ -51,7 +53,7 @@ def test_rate_verdicts(spark, hot):
 
 def test_watermark_over_the_whole_table(spark, hot):
     arrived = hot.withColumn("arrival_time", F.col("event_id"))
-    both(lambda n: late.with_watermark(arrived, ["arrival_time"], group_rows=n))
+    both(lambda n: late.with_watermark(arrived, ["arrival_time"], cell=n))
 
 
 def test_running_kinds(spark, hot):
@@ -62,30 +64,61 @@ def test_running_kinds(spark, hot):
         Running("m", "max", value), Running("l", "last", value),
         Running("l_before", "last", value, before=True),
     ]
-    both(lambda n: running(hot, ["PULocationID"], ["event_time", "event_id"], columns, n))
+    split = both(
+        lambda n: running(hot, ["PULocationID"], ["event_time", "event_id"], columns, n)
+    )
+    rows = Window.partitionBy("PULocationID").orderBy("event_time", "event_id")
+    until, before = (rows.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
+    plain = hot.select(
+        "*",
+        F.count("*").over(until).alias("n"), F.count("*").over(before).alias("n_before"),
+        F.sum(value).over(until).alias("s"), F.sum(value).over(before).alias("s_before"),
+        F.max(value).over(until).alias("m"),
+        F.last(value, ignorenulls=True).over(until).alias("l"),
+        F.last(value, ignorenulls=True).over(before).alias("l_before"),
+    )
+    assert rows_of(split) == rows_of(plain)
 
 
-def test_hot_key_is_spread_over_chunks(spark, hot, tmp_path):
-    from meterline.plans import ordered
+def test_rows_without_a_time_come_first(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, NULL, 5), (2, timestamp'2024-01-01', 7), "
+                   "(3, timestamp'1969-12-31', 1) AS t(id, at, v)")
+    found = running(df, [], ["at", "id"], [Running("s", "sum", F.col("v"))], "1 second")
+    assert {r["id"]: r["s"] for r in found.collect()} == {1: 5, 3: 6, 2: 13}
 
-    stored = []
-    original = ordered.materialize
 
-    def spy(df, label):
-        stored.append(original(df, label))
-        return stored[-1]
+def test_unknown_kind():
+    with pytest.raises(ValueError):
+        Running("x", "median")
 
-    ordered.materialize = spy
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+
+def test_hot_key_is_spread_over_tasks(spark, hot):
+    before = {k: spark.conf.get(k, None) for k in
+              ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        made = state.running_average(hot).withColumn("_task", F.spark_partition_id())
+        sizes = Counter(r["_task"] for r in made.collect()).values()
+    finally:
+        for name, setting in before.items():
+            spark.conf.set(name, setting) if setting else spark.conf.unset(name)
+    # Zone 1 has two thirds of the rows; no task has a third.
+    assert max(sizes) < 1000 and len(sizes) > 12
+
+
+def test_building_starts_no_job_and_writes_nothing(spark, hot):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "", False)
+    arrived = hot.withColumn("arrival_time", F.col("event_id"))
     try:
-        state.running_average(hot, ALWAYS_SPLIT)
+        state.running_average(hot)
+        state.rate_verdicts(hot)
+        state.change_detection(hot, ["PULocationID"], "total_amount", ["event_time", "event_id"])
+        late.with_watermark(arrived, ["arrival_time"])
+        assert not tracker.getJobIdsForGroup("building")
     finally:
-        ordered.materialize = original
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
-    sizes = [r["count"] for r in stored[0].groupBy("_chunk").count().collect()]
-    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert max(sizes) < 2 * 3000 / len(sizes)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("backfill", [False, True])
@@ -102,7 +135,7 @@ def test_asof_plans_agree(spark, hot, backfill):
     def make(limit):
         joined = joins.asof_join(
             hot, versions, "PULocationID", "event_time", "since", "seq", ["name", "extra"],
-            "event_id", backfill, broadcast_bytes=limit, group_rows=limit,
+            "event_id", backfill, cell=limit,
         )
         return joined.select("event_id", "PULocationID", "name", "extra")
 
@@ -139,8 +172,6 @@ def test_size_check_refuses_a_large_side(spark):
         assert "BroadcastHashJoin" not in plan(plain)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sizing.measure(side, ["id"]).largest_key == 1
-    assert sizing.largest_group(side, []) == 100
 
 
 def test_sessions_equal_built_in(spark, hot):
@@ -207,7 +238,7 @@ def test_hot_bucket_is_split_in_nearby_rides(spark, hot, shuffled_joins):
 
 
 def test_intermediate_tables_can_be_dropped(spark, hot):
-    state.running_average(hot, ALWAYS_SPLIT)
+    assert materialize(hot, "rides").count() == 3000
     drop_materialized(spark)
     folder = f"{shared_dir(spark)}/meterline/{spark.sparkContext.applicationId}"
     assert not os.path.exists(folder)

@@ -132,12 +132,15 @@ def test_asof_with_static_versions(spark, tmp_path):
     ]
 
 
-def test_asof_refuses_to_broadcast_much(spark, tmp_path):
-    versions = spark.range(33).selectExpr("1 AS driver_id", "id AS seq", "id AS v",
-                                          "timestamp_seconds(id) AS since")
-    rides = stream(spark, tmp_path, BATCHES)
-    with pytest.raises(ValueError):
-        joins.asof_join(rides, versions, "driver_id", "event_time", "since", "seq", ["v"], "event_time")
+def test_asof_with_many_versions_per_key(spark, tmp_path):
+    versions = spark.range(100).selectExpr(
+        "1 AS driver_id", "id AS seq", "id AS v",
+        "timestamp_seconds(1704110400 + id * 3) AS since")
+    operator = lambda rides: joins.asof_join(
+        rides, versions, "driver_id", "event_time", "since", "seq", ["v"], "tpep_pickup_datetime")
+    got = rows_of(streamed(spark, tmp_path, operator(stream(spark, tmp_path, BATCHES)), "append"))
+    assert got == rows_of(to_sink_types(operator(table(spark, tmp_path))))
+    assert len({r[-1] for r in got}) > 2
 
 
 def trips(spark, tmp_path, how):
