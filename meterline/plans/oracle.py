@@ -26,7 +26,9 @@ _VIEWS = {
                ROUND(4.5 + (c_custkey % 50) / CAST(100 AS DOUBLE), 2) AS rating, c_mktsegment
         FROM customer""",
     "drivers": """
-        SELECT driver_id, name, rating FROM all_drivers WHERE c_mktsegment <> 'MACHINERY'""",
+        SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN -driver_id ELSE driver_id END AS driver_id,
+               name, rating
+        FROM all_drivers""",
     "driver_updates": """
         SELECT CAST(o_custkey AS INT) AS driver_id,
                'Driver ' || o_custkey || ' ' || o_orderstatus AS name,
@@ -39,9 +41,10 @@ _VIEWS = {
                event_time AS pickup_time
         FROM rides""",
     "dropoffs": """
-        SELECT CAST(event_id AS VARCHAR) AS trip_id, DOLocationID AS dropoff_zone,
+        SELECT CASE WHEN event_type = 'error' THEN 'lost ' ELSE '' END || event_id AS trip_id,
+               DOLocationID AS dropoff_zone,
                event_time + to_minutes(event_id % 150) AS dropoff_time, total_amount AS fare
-        FROM rides WHERE event_type <> 'error'""",
+        FROM rides""",
     "day_trips": """
         SELECT p.trip_id, pickup_zone, dropoff_zone, pickup_time, dropoff_time,
                date_sub('minute', pickup_time, dropoff_time) AS duration_minutes, fare
@@ -356,10 +359,10 @@ def oracle_sql() -> dict[str, str]:
             FROM rides r LEFT JOIN taxi_zones pz ON PULocationID = pz.zone_id
             LEFT JOIN taxi_zones dz ON DOLocationID = dz.zone_id
             LEFT JOIN drivers d ON r.driver_id = d.driver_id"""),
-        "seed_load": _sql(["all_drivers"], """
-            SELECT driver_id, CASE WHEN c_mktsegment <> 'MACHINERY' THEN name
-                                   ELSE 'seed ' || name END AS name, rating
-            FROM all_drivers"""),
+        "seed_load": _sql(["drivers"], """
+            SELECT * FROM drivers UNION ALL
+            SELECT driver_id, 'seed ' || name AS name, rating FROM all_drivers
+            WHERE driver_id NOT IN (SELECT driver_id FROM drivers)"""),
         "upsert_latest": _sql(["driver_updates"], """
             SELECT * FROM driver_updates QUALIFY ROW_NUMBER() OVER (
               PARTITION BY driver_id ORDER BY updated_at DESC, update_id DESC) = 1"""),

@@ -72,13 +72,15 @@ def zone_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers outside one market segment; the others' rides have an unknown driver."""
-    return driver_columns(table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'"))
+    """All customers. Those of one market segment have ids that no ride names, so the rides of
+    these customers have an unknown driver."""
+    unknown = "if(c_mktsegment = 'MACHINERY', -c_custkey, c_custkey)"
+    return driver_columns(table(spark, sf_dir, "customer"), unknown)
 
 
-def driver_columns(customer: DataFrame) -> DataFrame:
+def driver_columns(customer: DataFrame, key: str = "c_custkey") -> DataFrame:
     return customer.selectExpr(
-        "cast(c_custkey as int) AS driver_id",
+        f"cast({key} as int) AS driver_id",
         "c_name AS name",
         "round(4.5D + (c_custkey % 50) / 100D, 2) AS rating",
     )
@@ -106,10 +108,10 @@ def pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dropoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """0-149 minutes after the pickup; rides that ended in an error have none."""
-    ended = rides(spark, sf_dir).where("event_type <> 'error'")
-    return ended.selectExpr(
-        "cast(event_id as string) AS trip_id",
+    """0-149 minutes after the pickup. Those of rides that ended in an error name another trip,
+    which no pickup has."""
+    return rides(spark, sf_dir).selectExpr(
+        "concat(if(event_type = 'error', 'lost ', ''), event_id) AS trip_id",
         "DOLocationID AS dropoff_zone",
         "event_time + " + _MINUTES.format("event_id % 150") + " AS dropoff_time",
         "total_amount AS fare",
