@@ -230,6 +230,31 @@ def oracle_sql() -> dict[str, str]:
             SELECT zone_id, window_start, window_end, trip_count FROM hours"""),
         "sliding_average": _sql(["sliding"], "SELECT * FROM sliding"),
         "session_driver": _sql(["sessions"], "SELECT * FROM sessions"),
+        "sliding_average_default": _sql(["rides"], f"""
+            SELECT zone_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
+                   COUNT(*) AS trip_count, {_average("AVG(total_amount)")} AS avg_fare
+            FROM (SELECT PULocationID AS zone_id, total_amount,
+                         time_bucket(INTERVAL 10 SECOND, event_time)
+                           - to_seconds(o * 10) AS window_start
+                  FROM rides CROSS JOIN generate_series(0, 29) AS g(o))
+            GROUP BY zone_id, window_start"""),
+        "session_driver_default": _sql(["rides"], """
+            SELECT driver_id, MIN(event_time) AS session_start,
+                   MAX(event_time) + INTERVAL 10 SECOND AS session_end,
+                   COUNT(*) AS trip_count, ROUND(SUM(total_amount), 2) AS total_revenue
+            FROM (SELECT *, SUM(opens) OVER (PARTITION BY driver_id ORDER BY event_time, event_id
+                           ROWS UNBOUNDED PRECEDING) AS nth
+                  FROM (SELECT *, CASE WHEN event_time - LAG(event_time) OVER (
+                                 PARTITION BY driver_id ORDER BY event_time, event_id)
+                                 <= INTERVAL 10 SECOND THEN 0 ELSE 1 END AS opens
+                        FROM rides))
+            GROUP BY driver_id, nth"""),
+        "rate_alerts_default": _sql(["rides"], """
+            SELECT PULocationID AS zone_id, w AS window_start, w + INTERVAL 1 MINUTE AS window_end,
+                   COUNT(*) AS ride_count
+            FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE,
+                              make_timestamp(epoch_us(event_time) // 1440)) AS w FROM rides)
+            GROUP BY 1, 2, 3 HAVING COUNT(*) > 20"""),
         "window_kind_counts": _sql(["hours", "sliding", "sessions"], """
             SELECT 'tumbling' AS type, COUNT(*) AS rows FROM hours
             UNION ALL SELECT 'sliding', COUNT(*) FROM sliding

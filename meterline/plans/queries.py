@@ -44,6 +44,12 @@ def _trips(spark: SparkSession, sf: str, within: str = "30 minutes", how: str =
     return joins.trip_join(views.pickups(spark, sf), views.dropoffs(spark, sf), within, how)
 
 
+def _bursts(rides: DataFrame) -> DataFrame:
+    """The same rides, a day of them squeezed into a minute, so that a minute holds many."""
+    squeezed = F.unix_micros("event_time") / 1440
+    return rides.withColumn("event_time", F.timestamp_micros(F.floor(squeezed)))
+
+
 def _alerts(rides: DataFrame) -> DataFrame:
     return windows.rate_alerts(rides, "1 day", 20)
 
@@ -181,6 +187,9 @@ def _queries() -> dict[str, Query]:
             lambda r: windows.sliding_average(r, "1 hour", "10 minutes")
         ),
         "session_driver": _of_rides(lambda r: windows.session_driver(r, "6 hours")),
+        "sliding_average_default": _of_rides(windows.sliding_average),
+        "session_driver_default": _of_rides(windows.session_driver),
+        "rate_alerts_default": _of_rides(lambda r: windows.rate_alerts(_bursts(r))),
         "window_kind_counts": _of_rides(
             lambda r: windows.window_kind_counts(r, "1 hour", "1 hour", "10 minutes", "6 hours")
         ),
@@ -236,14 +245,14 @@ def _queries() -> dict[str, Query]:
         "fraud_flags": _from_trips("fraud_flags"),
         "long_trips": _from_trips("long_trips"),
         "dashboard_named": lambda s, sf: dashboard.named(
-            views.rides(s, sf), views.taxi_zones(s, sf)
-        )["dashboard_hourly_revenue"],
+            views.rides(s, sf), views.taxi_zones(s, sf), "dashboard_hourly_revenue"
+        ),
         "dashboard_named_totals": lambda s, sf: dashboard.named(
-            views.rides(s, sf), views.taxi_zones(s, sf)
-        )["dashboard_top_zones"],
+            views.rides(s, sf), views.taxi_zones(s, sf), "dashboard_top_zones"
+        ),
         "dashboard_named_stats": lambda s, sf: dashboard.named(
-            views.rides(s, sf), views.taxi_zones(s, sf)
-        )["dashboard_avg_stats"],
+            views.rides(s, sf), views.taxi_zones(s, sf), "dashboard_avg_stats"
+        ),
         # Late data (G, L6)
         "late_observer": _observed,
         "late_side_output": lambda s, sf: late.late_rows(_observed(s, sf)),

@@ -24,7 +24,7 @@ _TYPES: dict[type[DataType], str] = {
     IntegerType: "INTEGER",
     LongType: "BIGINT",
     DoubleType: "DOUBLE PRECISION",
-    StringType: "VARCHAR(200)",
+    StringType: "TEXT",
     TimestampType: "TIMESTAMP(3)",
     TimestampNTZType: "TIMESTAMP(3)",
 }

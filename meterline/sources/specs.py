@@ -113,9 +113,7 @@ RESULTS = {
         ),
         TableSpec(
             "zone_trip_totals",
-            
-                "zone_id INT, total_trips BIGINT, total_revenue DOUBLE, last_updated TIMESTAMP_NTZ"
-            ,
+            "zone_id INT, total_trips BIGINT, total_revenue DOUBLE, last_updated TIMESTAMP_NTZ",
             key=("zone_id",),
         ),
         TableSpec(
@@ -165,6 +163,46 @@ RESULTS = {
             "zone_id INT, total_trips BIGINT, total_revenue DOUBLE",
             key=("zone_id",),
         ),
+        TableSpec(
+            "dashboard_top_five",
+            "rank INT, zone_id INT, total_trips BIGINT, total_revenue DOUBLE",
+            key=("rank",),
+        ),
+        TableSpec(
+            "named_dashboard_hourly_revenue",
+            "zone_id INT, window_end TIMESTAMP_NTZ, trip_count BIGINT, revenue DOUBLE, "
+            "zone_name STRING",
+            key=("zone_id", "window_end"),
+        ),
+        TableSpec(
+            "named_dashboard_top_zones",
+            "zone_id INT, total_trips BIGINT, total_revenue DOUBLE, zone_name STRING",
+            key=("zone_id",),
+        ),
+        TableSpec(
+            "named_dashboard_avg_stats",
+            "zone_id INT, avg_fare DOUBLE, avg_distance DOUBLE, trip_count BIGINT, "
+            "zone_name STRING",
+            key=("zone_id",),
+        ),
+        TableSpec(
+            "last_rides",
+            "PULocationID INT, recency INT, event_time TIMESTAMP_NTZ, total_amount DOUBLE",
+            key=("PULocationID", "recency"),
+        ),
+        TableSpec(
+            "first_seen", "driver_id INT, first_seen TIMESTAMP_NTZ", key=("driver_id",)
+        ),
+        TableSpec(
+            "expiring_counts", "PULocationID INT, total_trips BIGINT", key=("PULocationID",)
+        ),
+        TableSpec(
+            "late_events",
+            "driver_id INT, PULocationID INT, DOLocationID INT, trip_distance DOUBLE, "
+            "total_amount DOUBLE, tpep_pickup_datetime BIGINT, event_time TIMESTAMP_NTZ, "
+            "watermark TIMESTAMP_NTZ, proc_time TIMESTAMP_NTZ, status STRING",
+            topic="late-events",
+        ),
         TableSpec(
             "dashboard_avg_stats",
             "zone_id INT, avg_fare DOUBLE, avg_distance DOUBLE, trip_count BIGINT",

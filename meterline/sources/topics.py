@@ -9,8 +9,9 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterline.operators.stateless import decode_json
+from meterline.operators.stateless import CORRUPT, decode_json
 from meterline.sources.specs import TableSpec
 
 EARLIEST, LATEST = "earliest", "latest"
@@ -70,6 +71,18 @@ def peek_topic(spark: SparkSession, spec: TableSpec, servers: str, n: int = 10)
     return decode(spec, records)
 
 
+def well_formed(rows: DataFrame) -> DataFrame:
+    """The rows whose record was a valid one of the declared schema."""
+    if CORRUPT not in rows.columns:
+        return rows
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def malformed(rows: DataFrame) -> DataFrame:
+    """The other records, for a dead-letter sink."""
+    return rows.where(F.col(CORRUPT).isNotNull())
+
+
 def offsets(topic: str, by_partition: dict[int, int]) -> str:
     """An explicit position in a topic, for ``starting``."""
     return json.dumps({topic: {str(p): o for p, o in sorted(by_partition.items())}})
@@ -86,12 +99,17 @@ def read_files(
 ) -> DataFrame:
     """An endless table over a folder of JSON or parquet files of the declared schema.
 
+    A malformed JSON line yields NULLs and is kept in CORRUPT, as records of topics are.
     ``position`` adds the time each row's file was written, as ``timestamp``.
     """
-    reader = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", files_per_trigger)
-    rows = reader.format(fmt).load(path)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    if fmt == "json":
+        rows = reader.format("text").load(path).where(F.trim("value") != "")
+    else:
+        rows = reader.schema(spec.schema).format(fmt).load(path)
     if position:
-        rows = rows.select("*", "_metadata.file_modification_time").withColumnRenamed(
-            "file_modification_time", "timestamp"
-        )
+        rows = rows.select("*", F.col("_metadata.file_modification_time").alias("timestamp"))
+    if fmt == "json":
+        # Lines are decoded whole, as records of topics are, so that a bad field is always seen.
+        return decode(spec, rows, ("timestamp",) if position else (), watermark)
     return spec.with_event_time(rows, watermark)

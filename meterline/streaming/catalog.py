@@ -7,17 +7,21 @@ files, into topics, changelogs or a database.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterline.operators import joins, state, stateless, windows
+from meterline.plans import dashboard
 from meterline.sources import jdbc, topics
 from meterline.sources.specs import DRIVERS, DROPOFFS, PICKUPS, RESULTS, RIDES, ZONES, TableSpec
 from meterline.streaming import jobs, processors, sinks
+from meterline.streaming.carried import Carried
 from meterline.streaming.enrich import BroadcastEnricher, tagged
 from meterline.streaming.jobs import Output
-from meterline.streaming.late import LateRouter, late_counts
+from meterline.streaming.late import LateRouter
 from meterline.streaming.sinks import BatchWriter
 
 
@@ -41,21 +45,41 @@ class Places:
     zones: DataFrame | None = None  # instead of the database's table
     max_per_trigger: int | None = None
     files_per_batch: int | None = None
+    database_options: dict[str, str] = field(default_factory=dict)  # user, password, driver
+    opened: dict[str, TableSpec] = field(default_factory=dict, compare=False)
 
     def open(
         self, spec: TableSpec, starting: str, position: bool = False, watermark: bool = True
+    ) -> DataFrame:
+        """The well-formed records of a source; ``rejected`` has the others."""
+        self.opened[spec.name] = spec
+        return topics.well_formed(self._read(spec, starting, position, watermark))
+
+    def _read(
+        self, spec: TableSpec, starting: str, position: bool = False, watermark: bool = True
     ) -> DataFrame:
         if self.servers:
             kept = ("timestamp", "offset") if position else ()
-            rows = topics.read_topic(
+            return topics.read_topic(
                 self.spark, spec, self.servers, starting, self.max_per_trigger,
                 position=kept, watermark=watermark,
             )
-            return rows.drop(stateless.CORRUPT)
         path = f"{self.folder}/{spec.topic or spec.name}"
         files = self.max_per_trigger or 1
         return topics.read_files(self.spark, spec, path, self.fmt, files, position, watermark)
 
+    def rejected(self, starting: str = topics.EARLIEST) -> list[Output]:
+        """An output per source opened so far: its malformed records, as a changelog."""
+        if not self.servers and self.fmt != "json":
+            return []
+        outputs = []
+        for spec in self.opened.values():
+            name = f"{spec.name}_rejected"
+            rows = topics.malformed(self._read(spec, starting, watermark=False))
+            rows = rows.select(F.col(stateless.CORRUPT).alias("record"))
+            outputs.append(Output(name, rows, sinks.changelog(f"{self.out}/{name}")))
+        return outputs
+
     def order(self) -> list[str]:
         return ["timestamp", "offset"] if self.servers else ["timestamp"]
 
@@ -64,7 +88,7 @@ class Places:
         if self.zones is not None:
             return lambda: self.zones
         return jdbc.JdbcDimension(
-            self.spark, TableSpec(name, ""), {"url": self.database}
+            self.spark, TableSpec(name, ""), {"url": self.database} | self.database_options
         ).current
 
     def sink(self, name: str) -> BatchWriter:
@@ -72,7 +96,7 @@ class Places:
         if self.servers and spec.topic:
             return sinks.topic_writer(spec, self.servers)
         if self.database and spec.key:
-            return sinks.jdbc_upsert(spec, self.database)
+            return sinks.jdbc_upsert(spec, self.database, **self.database_options)
         files = self.files_per_batch if spec.key else None
         return sinks.changelog(f"{self.out}/{name}", files=files)
 
@@ -144,7 +168,31 @@ def _zone_rides(places: Places) -> list[Output]:
 
 
 def _dashboard(places: Places) -> list[Output]:
-    return jobs.dashboard_outputs(lambda: places.open(RIDES, topics.EARLIEST), places.sink)
+    rides = lambda: places.open(RIDES, topics.EARLIEST)
+    totals = dashboard.from_rides(rides())["dashboard_top_zones"]
+    best = places.sink("dashboard_top_five")
+
+    def top_five(batch: DataFrame, batch_id: int) -> None:
+        best(dashboard.ranked(state.top_k(batch, "total_trips", ["zone_id"])), batch_id)
+
+    outputs = jobs.dashboard_outputs(rides, places.sink)
+    return [*outputs, Output("dashboard_top_five", totals, top_five, "complete")]
+
+
+def _dashboard_named(places: Places) -> list[Output]:
+    """L1-L3 with the zones' current names."""
+    zones = places.dimension("taxi_zones")
+
+    def output(name: str) -> Output:
+        sink = places.sink(f"named_{name}")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            sink(joins.with_zone_names(batch, zones()), batch_id)
+
+        rows = dashboard.from_rides(places.open(RIDES, topics.EARLIEST))[name]
+        return Output(f"named_{name}", rows, write, "update")
+
+    return [output(name) for name in dashboard.BY_ZONE]
 
 
 def _dashboard_trips(places: Places) -> list[Output]:
@@ -152,8 +200,16 @@ def _dashboard_trips(places: Places) -> list[Output]:
     trips = joins.trip_join(
         places.open(PICKUPS, topics.EARLIEST), places.open(DROPOFFS, topics.EARLIEST), "1 day"
     )
+    schema = StructType.fromDDL("pickup_zone INT, trips BIGINT, minutes BIGINT")
+    so_far = Carried(f"{places.state}/trip_duration", schema)
+    sink = places.sink("dashboard_avg_duration")
+
+    def average(parts: DataFrame, batch_id: int) -> None:
+        total = so_far.fold(parts, batch_id, _summed("pickup_zone", "trips", "minutes"))
+        sink(joins.avg_from_duration_parts(total), batch_id)
+
     write = sinks.fan_out(
-        (joins.trip_duration_parts, sinks.changelog(f"{places.out}/trip_duration_parts")),
+        (joins.trip_duration_parts, average),
         (joins.long_trips, places.sink("long_trips")),
         (joins.fraud_flags, places.sink("fraud_flags")),
     )
@@ -161,19 +217,57 @@ def _dashboard_trips(places: Places) -> list[Output]:
 
 
 def _dashboard_late_events(places: Places) -> list[Output]:
-    """L6; ``late.total_late`` adds up what it writes."""
+    """The number of late rides so far."""
     rides = places.open(RIDES, topics.EARLIEST, watermark=False)
-    counts = late_counts(f"{places.out}/dashboard_late_events")
-    router = LateRouter(f"{places.state}/dashboard_late_events", sinks.ignore, counts)
+    schema = StructType.fromDDL("stat_name STRING, stat_value BIGINT")
+    so_far = Carried(f"{places.state}/late_total", schema)
+    sink = places.sink("dashboard_late_events")
+
+    def count(late: DataFrame, batch_id: int) -> None:
+        n = late.agg(F.count("*").alias("stat_value"))
+        n = n.select(F.lit("late_events").alias("stat_name"), "stat_value")
+        sink(so_far.fold(n, batch_id, _summed("stat_name", "stat_value")), batch_id)
+
+    router = LateRouter(f"{places.state}/dashboard_late_events", sinks.ignore, count)
     return [Output("dashboard_late_events", rides, router)]
 
 
+def _summed(key: str, *values: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.groupBy(key).agg(*(F.sum(v).alias(v) for v in values))
+
+
+def _drivers_by(policy: str) -> Job:
+    def job(places: Places) -> list[Output]:
+        timed = policy == processors.DROP_IF_OLD
+        rides = places.open(RIDES, topics.EARLIEST, watermark=timed)
+        drivers = places.open(DRIVERS, topics.EARLIEST, position=True)
+        if timed:
+            drivers = drivers.withWatermark("timestamp", RIDES.delay)
+        rows = processors.join_drivers(rides, drivers, policy, driver_time="timestamp")
+        name = f"driver_rides_{policy}"
+        return [Output(name, rows, places.sink(name))]
+
+    return job
+
+
+def _trip_outcomes(places: Places) -> list[Output]:
+    """Trips by outcome, counted per batch."""
+    joined = joins.trip_join(
+        places.open(PICKUPS, topics.EARLIEST), places.open(DROPOFFS, topics.EARLIEST),
+        how="left_outer",
+    )
+    counts = sinks.batch_counts(f"{places.out}/trip_outcomes", ["outcome"])
+    return [Output("trip_outcomes", joins.with_outcome(joined), counts)]
+
+
 JOBS: dict[str, Job] = {
     "high_fare_rides": _of_rides("high_fare_rides", stateless.filter_high_fare, topics.LATEST),
     "rides_eur": _of_rides("rides_eur", stateless.map_to_eur, topics.LATEST),
     "zone_events": _of_rides("zone_events", stateless.zone_events, topics.LATEST),
     "minute_revenue": _of_rides("minute_revenue", windows.tumbling_revenue, topics.EARLIEST),
-    "rolling_avg_fare": _of_rides("rolling_avg_fare", windows.sliding_average, topics.EARLIEST),
+    "rolling_avg_fare": _of_rides(
+        "rolling_avg_fare", lambda r: windows.sliding_average(r, panes=True), topics.EARLIEST
+    ),
     "driver_sessions": _of_rides("driver_sessions", windows.session_driver, topics.LATEST),
     "zone_trip_totals": _of_rides(
         "zone_trip_totals", state.cumulative_counter, topics.EARLIEST, "update"
@@ -194,6 +288,30 @@ JOBS: dict[str, Job] = {
     "driver_rides": _driver_rides,
     "zone_rides": _zone_rides,
     "dashboard": _dashboard,
+    "dashboard_named": _dashboard_named,
     "dashboard_trips": _dashboard_trips,
     "dashboard_late_events": _dashboard_late_events,
+    "driver_rides_emit_partial": _drivers_by(processors.EMIT_PARTIAL),
+    "driver_rides_drop_if_old": _drivers_by(processors.DROP_IF_OLD),
+    "trip_outcomes": _trip_outcomes,
+    "unique_rides": _of_rides(
+        "unique_rides",
+        lambda r: state.dedup(r, ["driver_id", "tpep_pickup_datetime"], ["event_time"]),
+        topics.EARLIEST,
+    ),
+    "last_rides": _of_rides(
+        "last_rides",
+        lambda r: processors.last_n(r, "PULocationID", ["event_time", "total_amount"]),
+        topics.EARLIEST, "update",
+    ),
+    "first_seen": _of_rides("first_seen", state.first_seen, topics.EARLIEST, "update"),
+    "fare_changes": _of_rides(
+        "fare_changes",
+        lambda r: processors.detect_changes(r, "PULocationID", "total_amount"),
+        topics.EARLIEST,
+    ),
+    "ride_verdicts": _of_rides("ride_verdicts", processors.rate_verdicts, topics.EARLIEST),
+    "expiring_counts": _of_rides(
+        "expiring_counts", processors.expiring_count, topics.EARLIEST, "update"
+    ),
 }

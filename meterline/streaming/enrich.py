@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.operators.joins import broadcast_enrich, latest_per_key
-from meterline.sources.specs import ZONES
+from meterline.streaming.carried import Carried
 from meterline.streaming.sinks import BatchWriter
 
 _ROWS = "_side"
@@ -31,8 +29,8 @@ class BroadcastEnricher:
     """A ``foreachBatch`` function over ``tagged`` rows.
 
     Each batch's zone updates are folded into the latest row per zone, then its rides are
-    enriched. The dimension lives in the shared folder in two slots: batch b reads slot b % 2
-    and writes the other, so a repeated batch starts from what it started from before.
+    enriched. The dimension is carried in the shared folder and written only by batches that
+    update it. The batch is held while it is read for both.
     """
 
     def __init__(self, dimension: str, write: BatchWriter):
@@ -40,21 +38,21 @@ class BroadcastEnricher:
         self.write = write
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        updates = batch.where(F.col(_ROWS) == "zone").select("zone.*")
-        parts = [updates.select("zone_id", "zone_name", F.lit(1).alias("_age"), "seq")]
-        if batch_id > 0:
-            known = spark.read.schema(ZONES.schema).parquet(self._slot(batch_id))
-            none = F.lit(None).cast(updates.schema["seq"].dataType)
-            parts.append(known.select("*", F.lit(0).alias("_age"), none.alias("seq")))
-        merged = reduce(DataFrame.unionByName, parts)
-        latest = latest_per_key(merged, ["zone_id"], ["_age", "seq"])
-        latest.select("zone_id", "zone_name").write.mode("overwrite").parquet(
-            self._slot(batch_id + 1)
-        )
-        zones = spark.read.schema(ZONES.schema).parquet(self._slot(batch_id + 1))
-        rides = batch.where(F.col(_ROWS) == "ride").select("ride.*")
-        self.write(broadcast_enrich(rides, zones), batch_id)
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.dimension}/slot={batch_id % 2}"
+        batch.persist()
+        try:
+            updates = batch.where(F.col(_ROWS) == "zone").select("zone.*")
+            schema = updates.schema.add("_age", "long")
+            known = Carried(self.dimension, schema)
+            if updates.isEmpty():
+                zones = known.current(batch.sparkSession, batch_id)
+            else:
+                newer = updates.withColumn("_age", F.lit(batch_id).cast("long"))
+                zones = known.fold(newer, batch_id, _latest)
+            rides = batch.where(F.col(_ROWS) == "ride").select("ride.*")
+            self.write(broadcast_enrich(rides, zones), batch_id)
+        finally:
+            batch.unpersist()
+
+
+def _latest(zones: DataFrame) -> DataFrame:
+    return latest_per_key(zones, ["zone_id"], ["_age", "seq"])

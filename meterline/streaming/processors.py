@@ -21,6 +21,13 @@ DRIVER, RIDE = 0, 1
 EMIT_PARTIAL, BUFFER, DROP_IF_OLD = "emit_partial", "buffer", "drop_if_old"
 
 
+def _in_order(rows, *first: str):
+    """Rows by the columns named, and at one instant by all their values: a repeated batch is
+    then handled as it was before. NULLs come first."""
+    known = lambda v: (v is not None, str(v))
+    return sorted(rows, key=lambda r: (*(r[c] for c in first), *map(known, r)))
+
+
 def _micros(time: str) -> Column:
     """A sort key that a row without a time does not upset."""
     return F.coalesce(F.unix_micros(time), F.lit(0))
@@ -49,7 +56,7 @@ class DriverJoin(StatefulProcessor):
         before = driver = tuple(self.driver.get()) if self.driver.exists() else None
         held: list[tuple] = []
         # At one instant the driver comes first.
-        for row in sorted(rows, key=lambda r: (r["_us"], r["_side"])):
+        for row in _in_order(rows, "_us", "_side"):
             now = row["_us"]
             if row["_side"] == DRIVER:
                 # Rides only wait while the driver is unknown.
@@ -69,8 +76,10 @@ class DriverJoin(StatefulProcessor):
         if held:
             self.pending.appendList(held)
             if self.policy == DROP_IF_OLD:
-                for due in {ride[-1] // 1000 + self.wait_ms + 1 for ride in held}:
-                    self.handle.registerTimer(due)
+                # A few timers per wait, each a little late: rides it finds too old are dropped.
+                step = max(1, self.wait_ms // 10)
+                for due in {(ride[-1] // 1000 + self.wait_ms) // step + 1 for ride in held}:
+                    self.handle.registerTimer(due * step)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """Forget the rides that have waited too long."""
@@ -112,6 +121,8 @@ def join_drivers(
     so needs a watermark on both streams; Spark then drops late rows first, so route them before
     (``LateRouter``) if they must not be lost.
     """
+    if policy not in (BUFFER, DROP_IF_OLD, EMIT_PARTIAL):
+        raise ValueError(f"unknown policy: {policy!r}")
     keyed = rides.withColumn("driver_id", F.coalesce("driver_id", F.lit(0)))
     salt = F.pmod(F.xxhash64(*keyed.columns), F.lit(salts))
     left = keyed.withColumns({"_side": F.lit(RIDE), "_salt": salt})
@@ -185,7 +196,7 @@ class ChangeDetector(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = tuple(self.previous.get()) if self.previous.exists() else None
-        for row in sorted(rows, key=lambda r: r["us"]):
+        for row in _in_order(rows, "us"):
             if before is not None and before[0] != row["value"]:
                 yield self.row(*key, row["event_time"], before[0], row["value"])
             before = (row["value"],)
@@ -225,7 +236,7 @@ class RateVerdict(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         counts: dict[int, int] = {}
-        for row in sorted(rows, key=lambda r: r["us"]):
+        for row in _in_order(rows, "us"):
             window = row["window_ms"]
             if window not in counts:
                 counts[window] = self._count_so_far(window)

@@ -1,7 +1,7 @@
 """Where streams end: topics, keyed tables, the console.
 
-``foreachBatch`` may run a batch again after a failure, so every writer here gives the same
-result when it does.
+``foreachBatch`` may run a batch again after a failure. Keyed writers and changelogs then give
+the same result; a topic without a key gets the batch's records again, as topics do.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from meterline.sources import jdbc
 from meterline.sources.specs import TableSpec, to_sink_types
+from meterline.streaming.carried import folder_names, query_id
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -48,7 +49,10 @@ def to_topic(df: DataFrame, spec: TableSpec, servers: str, checkpoint: str) -> D
 
 
 def topic_writer(spec: TableSpec, servers: str) -> BatchWriter:
-    """A5, A6 from ``foreachBatch``, for jobs that write to several places."""
+    """A5, A6 from ``foreachBatch``, for jobs that write to several places.
+
+    Without a key a repeated batch appends its records once more: readers must bear repeats.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = to_sink_types(batch)
@@ -69,9 +73,10 @@ def changelog(
     sequence: Sequence[str] = (),
     files: int | None = None,
 ) -> BatchWriter:
-    """Keep each batch as one partition of a changelog.
+    """Keep each batch as one partition of a changelog, below its run.
 
-    A repeated batch overwrites its own partition. Writing costs the batch only, however large
+    A repeated batch overwrites its own partition. A stream started anew, on a fresh checkpoint,
+    opens a new run, whose rows count as later than those of all runs before. Writing costs the batch only, however large
     the table is; ``current_rows`` gives the table itself. With ``sequence`` a batch is first
     reduced to the last row per key. ``files`` suits aggregates, whose few rows would else be
     spread over as many files as there are state partitions.
@@ -83,13 +88,26 @@ def changelog(
             rows = _last_per_key(rows, keys, sequence)
         if files:
             rows = rows.repartition(files)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(_partition(batch, path, batch_id))
 
     return write
 
 
+def _partition(batch: DataFrame, path: str, batch_id: int) -> str:
+    """A batch's folder. Runs are numbered in the order in which their queries first wrote."""
+    spark = batch.sparkSession
+    own = query_id(spark)
+    runs = [n for n in folder_names(spark, path) if n.startswith("run=")]
+    run = next((n for n in runs if n.endswith(f"-{own}")), None)
+    if run is None:
+        last = int(runs[-1].removeprefix("run=").split("-")[0]) if runs else -1
+        run = f"run={last + 1:06d}-{own}"
+    return f"{path}/{run}/batch_id={batch_id}"
+
+
 def read_changelog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    full = StructType(list(schema.fields)).add("batch_id", "long")
+    """All rows written, with their ``run`` and ``batch_id``."""
+    full = StructType(list(schema.fields)).add("run", "string").add("batch_id", "long")
     return spark.read.schema(full).parquet(path)
 
 
@@ -108,12 +126,16 @@ def compact(
     through: int,
     into: str,
 ) -> None:
-    """Start a new changelog from the table as of batch ``through``.
+    """Start a new changelog from the table as of batch ``through`` of the latest run.
 
-    The old one is only read. Restart the stream on the new path; its batch ids go on from there.
+    The old one is only read. Restart the stream on the new path, where it opens a later run.
     """
-    log = read_changelog(spark, path, schema).where(F.col("batch_id") <= through)
-    _last_row(log, schema, keys).write.mode("overwrite").parquet(f"{into}/batch_id={through}")
+    latest = folder_names(spark, path)[-1].removeprefix("run=")
+    until = (F.col("run") < latest) | (F.col("batch_id") <= through)
+    log = read_changelog(spark, path, schema).where(until)
+    _last_row(log, schema, keys).write.mode("overwrite").parquet(
+        f"{into}/run=000000-compacted/batch_id={through}"
+    )
 
 
 def batch_counts(path: str, by: Sequence[str]) -> BatchWriter:
@@ -121,7 +143,7 @@ def batch_counts(path: str, by: Sequence[str]) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counts = batch.groupBy(*by).agg(F.count("*").alias("rows"))
-        counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        counts.write.mode("overwrite").parquet(_partition(batch, path, batch_id))
 
     return write
 
@@ -136,7 +158,7 @@ def total_counts(spark: SparkSession, path: str, by: str) -> DataFrame:
 def _last_row(log: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
     # Should one batch hold a key twice, the choice between the two is at least a fixed one.
     rest = [name for name in schema.names if name not in keys]
-    return _last_per_key(log, keys, ["batch_id", *rest]).select(*schema.names)
+    return _last_per_key(log, keys, ["run", "batch_id", *rest]).select(*schema.names)
 
 
 def _last_per_key(rows: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
@@ -152,7 +174,7 @@ def create_if_missing(spark: SparkSession, spec: TableSpec, path: str) -> None:
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        empty.write.mode("ignore").parquet(f"{path}/batch_id=-1")
+        empty.write.mode("ignore").parquet(f"{path}/run=000000-created/batch_id=-1")
 
 
 # --- several results of one stream -----------------------------------------------------------
@@ -183,13 +205,18 @@ def ignore(batch: DataFrame, batch_id: int) -> None:
 
 
 def jdbc_upsert(
-    spec: TableSpec, url: str, connections: int = 16, **properties: str
+    spec: TableSpec,
+    url: str,
+    connections: int = 16,
+    sequence: Sequence[str] = (),
+    **properties: str,
 ) -> BatchWriter:
     """Stage the batch from the executors, then move it over in one statement.
 
     The table is created before the first batch if it is missing. The statement is keyed, so a
     repeated batch changes nothing; it may not touch a row twice, so the stage holds one row per
-    key. ``connections`` limits how many executors write at once.
+    key: the last by ``sequence``, columns of the batch, which values that may fall again need.
+    Each query has a stage of its own. ``connections`` limits how many executors write at once.
     """
     rest = [name for name in spec.schema.names if name not in spec.key]
     ready: list[str] = []
@@ -198,9 +225,9 @@ def jdbc_upsert(
         if not ready:
             jdbc.execute(batch.sparkSession, url, jdbc.create_table(spec), **properties)
             ready.append(spec.name)
-        stage = f"{spec.name}_stage"
-        rows = to_sink_types(batch).select(*spec.schema.names)
-        rows = _last_per_key(rows, spec.key, rest or spec.key)
+        stage = stage_name(spec, batch.sparkSession)
+        rows = _last_per_key(to_sink_types(batch), spec.key, sequence or rest or spec.key)
+        rows = rows.select(*spec.schema.names)
         options = {"truncate": "true", "numPartitions": str(connections)}
         rows.write.options(**options).jdbc(url, stage, "overwrite", properties)
         jdbc.execute(batch.sparkSession, url, jdbc.upsert_from(spec, stage), **properties)
@@ -208,6 +235,10 @@ def jdbc_upsert(
     return write
 
 
+def stage_name(spec: TableSpec, spark: SparkSession) -> str:
+    return f"{spec.name}_stage_{query_id(spark).replace('-', '')[:12]}"
+
+
 # --- looking at results ----------------------------------------------------------------------
 
 

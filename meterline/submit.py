@@ -20,6 +20,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="folder for changelogs")
     parser.add_argument("--checkpoints", help="folder for checkpoints (default: the shared one)")
     parser.add_argument("--database", help="JDBC URL for keyed results and dimensions")
+    parser.add_argument("--database-option", action="append", default=[], metavar="NAME=VALUE",
+                        help="a JDBC property such as user, password or driver; repeatable")
+    parser.add_argument("--no-rejected", action="store_true",
+                        help="do not keep malformed records in <out>/<table>_rejected")
     parser.add_argument("--zones", help="parquet folder to take the zone dimension from")
     parser.add_argument("--max-per-trigger", type=int, help="records (topics) or files per batch")
     parser.add_argument("--files-per-batch", type=int, help="files per batch of a keyed result")
@@ -42,8 +46,12 @@ def main(arguments: list[str] | None = None) -> None:
         zones=spark.read.parquet(args.zones) if args.zones else None,
         max_per_trigger=args.max_per_trigger,
         files_per_batch=args.files_per_batch,
+        database_options=dict(x.split("=", 1) for x in args.database_option),
     )
-    queries = jobs.start_all(JOBS[args.job](places), checkpoints, args.once)
+    outputs = JOBS[args.job](places)
+    if not args.no_rejected:
+        outputs += places.rejected()
+    queries = jobs.start_all(outputs, checkpoints, args.once)
     if args.once:
         jobs.await_all(queries)
     else:

@@ -2,6 +2,7 @@
 
 import json
 import os
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 BASE = datetime(2024, 1, 1, 12, 0, 0, tzinfo=timezone.utc)
@@ -51,6 +52,16 @@ def run(writer, checkpoint, timeout=120):
     return query
 
 
+@contextmanager
+def as_query(spark, query):
+    """Calls inside look like batches of this query, as when it repeats one after a failure."""
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", str(query.id))
+    try:
+        yield
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+
+
 def rows_of(df, *columns):
     """Rows as a sorted list of tuples."""
     return sorted(tuple(r) for r in df.select(*(columns or df.columns)).collect())

@@ -8,7 +8,7 @@ from meterline.sources.topics import read_files
 from meterline.streaming.enrich import BroadcastEnricher, tagged
 from meterline.streaming.late import LateRouter, late_counts, total_late
 from meterline.streaming.sinks import changelog, current_rows, read_changelog
-from tests.streams import at, ride, rows_of, run, write_batches
+from tests.streams import as_query, at, ride, rows_of, run, write_batches
 
 BATCHES = [
     [ride(0), ride(300)],
@@ -33,7 +33,7 @@ def test_late_rows_are_routed_not_dropped(spark, tmp_path):
         counted(rows, batch_id)
 
     router = LateRouter(str(tmp_path / "control"), changelog(main), late_sink)
-    run(rides.writeStream.foreachBatch(router), tmp_path / "cp")
+    query = run(rides.writeStream.foreachBatch(router), tmp_path / "cp")
     schema = to_sink_types(
         router.observe(RIDES.with_event_time(spark.createDataFrame([], RIDES.schema)), None)
     ).schema
@@ -48,7 +48,8 @@ def test_late_rows_are_routed_not_dropped(spark, tmp_path):
     # A repeated last batch is split as before and replaces its own rows.
     again = RIDES.with_event_time(spark.createDataFrame(
         [tuple(r[c] for c in RIDES.schema.names) for r in BATCHES[2]], RIDES.schema))
-    router(again, 2)
+    with as_query(spark, query):
+        router(again, 2)
     assert rows_of(read_changelog(spark, side, schema), "event_time", "watermark", "status") == routed
     assert total_late(spark, count).first()["stat_value"] == 3
 
@@ -113,7 +114,7 @@ def test_updatable_broadcast_dimension(spark, tmp_path):
     both = tagged(left, right, ["offset"])
     out = str(tmp_path / "out")
     enricher = BroadcastEnricher(str(tmp_path / "dim"), changelog(out))
-    run(both.writeStream.foreachBatch(enricher), tmp_path / "cp")
+    query = run(both.writeStream.foreachBatch(enricher), tmp_path / "cp")
     log = spark.read.parquet(out)
     expected = [
         (1.0, "A", "Unknown"),  # zone 2 not seen yet
@@ -135,9 +136,10 @@ def test_updatable_broadcast_dimension(spark, tmp_path):
         spark.read.schema(ZONES_IN.schema).json(str(tmp_path / "zones/00000.json")),
         ["offset"],
     )
-    fresh(first, 0)
-    fresh(repeated, 1)
-    fresh(repeated, 1)
+    with as_query(spark, query):
+        fresh(first, 0)
+        fresh(repeated, 1)
+        fresh(repeated, 1)
     assert rows_of(spark.read.parquet(out), "total_amount", "pickup_zone", "dropoff_zone") == expected
 
 

@@ -73,8 +73,8 @@ def test_files_per_batch(spark, tmp_path):
     rows = spark.range(100).repartition(8).selectExpr("cast(id as int) k", "'v' v", "id n")
     sinks.changelog(str(tmp_path / "many"))(rows, 0)
     sinks.changelog(str(tmp_path / "few"), files=2)(rows, 0)
-    assert len(list((tmp_path / "many/batch_id=0").glob("*.parquet"))) == 8
-    assert len(list((tmp_path / "few/batch_id=0").glob("*.parquet"))) == 2
+    assert len(list((tmp_path / "many").glob("run=*/batch_id=0/*.parquet"))) == 8
+    assert len(list((tmp_path / "few").glob("run=*/batch_id=0/*.parquet"))) == 2
 
 
 def test_batch_counts(spark, tmp_path):
@@ -87,7 +87,7 @@ def test_batch_counts(spark, tmp_path):
 
 def test_statements(spark):
     assert jdbc.create_table(PAIR) == (
-        'CREATE TABLE IF NOT EXISTS "pair" ("k" INTEGER, "v" VARCHAR(200), "n" BIGINT, '
+        'CREATE TABLE IF NOT EXISTS "pair" ("k" INTEGER, "v" TEXT, "n" BIGINT, '
         'PRIMARY KEY ("k"))'
     )
     assert jdbc.upsert_from(PAIR, "stage") == (

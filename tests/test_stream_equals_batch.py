@@ -33,7 +33,7 @@ def streamed(spark, tmp_path, df, mode, keys=()):
     schema = to_sink_types(df).schema
     if keys:
         return current_rows(spark, path, schema, keys)
-    return read_changelog(spark, path, schema).drop("batch_id")
+    return read_changelog(spark, path, schema).drop("run", "batch_id")
 
 
 @pytest.mark.parametrize(
