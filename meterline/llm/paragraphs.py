@@ -2,8 +2,12 @@
 
 A paragraph is a line of at least ``MIN_WORDS`` words. Equal ones (same words) are collapsed
 first. The MinHash of the five-word shingles of each distinct paragraph is cut into bands; those
-that share a band are candidates, and candidates of exact Jaccard similarity 0.8 or more are
-linked. Links make components, of which the first paragraph stays in its document.
+that share a band are candidates, and candidates are linked if their exact Jaccard similarity or
+their edit similarity in words is 0.8 or more. Links make components, of which the first paragraph
+stays in its document.
+
+Jaccard alone would cut a large group of copies with a few typos each into thousands of parts that
+all have to be compared with each other: two typos in ninety words already leave less than 0.8.
 """
 
 from __future__ import annotations
@@ -15,10 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from meterline.llm.common import SPACES, settle
 from meterline.llm.components import components
+from meterline.plans.sizing import broadcast_when_small
 
 MIN_WORDS = 40
 SHINGLE = 5
@@ -42,102 +47,143 @@ def paragraphs_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, l
 
 
 def shingle_hashes(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the windows of ``size`` words (fewer words: of all)."""
+    """64-bit hashes of the windows of ``size`` words (fewer words: of all), repeats included."""
     import xxhash
 
     line = b" ".join(words)
     if len(words) <= size:
-        return np.array([xxhash.xxh64_intdigest(line)], np.uint64).view(np.int64)
+        return np.array([xxhash.xxh64_intdigest(line)], np.uint64)
     ends = np.cumsum([len(w) + 1 for w in words]).tolist()
     starts = [0, *ends[:-size]]
     digest = xxhash.xxh64_intdigest
     hashes = [digest(line[a : b - 1]) for a, b in zip(starts, ends[size - 1 :], strict=True)]
-    return np.unique(np.array(hashes, np.uint64)).view(np.int64)
+    return np.array(hashes, np.uint64)
+
+
+def shingles_of(line: bytes, size: int = SHINGLE) -> set[tuple[bytes, ...]]:
+    """The distinct windows of ``size`` words themselves (fewer words: all)."""
+    words = line.split(b" ")
+    return set(zip(*(words[i:] for i in range(min(size, len(words))))))
+
+
+def edit_distance(a: list[bytes], b: list[bytes]) -> int:
+    """Words to insert, delete or replace; one row of the table is two integers' bits."""
+    if not a or not b:
+        return max(len(a), len(b))
+    places: dict[bytes, int] = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    every, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, distance = every, 0, len(a)
+    for word in b:
+        same = places.get(word, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        right, left = down | (every & ~(diagonal | up)), up & diagonal
+        distance += bool(right & last) - bool(left & last)
+        right, left = (right << 1 | 1) & every, (left << 1) & every
+        up, down = left | (every & ~(diagonal | right)), right & diagonal
+    return distance
+
+
+def similarity(a: bytes, b: bytes, of_a: set, of_b: set) -> float:
+    """The larger of the exact Jaccard similarity and, if that is too low, of the edit one."""
+    both = len(of_a & of_b)
+    jaccard = both / (len(of_a) + len(of_b) - both)
+    if jaccard >= SIMILAR:
+        return jaccard
+    words = a.split(b" "), b.split(b" ")
+    longer = max(map(len, words))
+    if min(map(len, words)) < SIMILAR * longer:
+        return jaccard
+    return max(jaccard, 1 - edit_distance(*words) / longer)
+
+
+def min_hash(values: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """The smallest hash of a set under each of several hash functions (64-bit wrapping)."""
+    low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(values), 4096):
+        some = values[at : at + 4096]
+        mixed = (some ^ (some >> np.uint64(29)))[:, None] * factors + shifts
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        np.minimum(low, mixed.min(axis=0), out=low)
+    return low
+
+
+def _hash_functions() -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(20240229)
+    factors = random.integers(1, 1 << 32, BANDS * ROWS, np.uint64) | np.uint64(1)
+    return factors, random.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+
+
+def band_keys(words: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """One number per band of a paragraph's MinHash; the band's own number is mixed into it."""
+    low = min_hash(shingle_hashes(words), *functions).reshape(BANDS, ROWS)
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for r in range(ROWS):
+        key = (key ^ low[:, r]) * np.uint64(0x100000001B3)
+        key ^= key >> np.uint64(31)
+    return key.view(np.int64)
 
 
 def found_paragraphs(
-    docs: DataFrame, keys: list[str], least: int = MIN_WORDS, with_shingles: bool = False
+    docs: DataFrame, keys: list[str], least: int = MIN_WORDS, extra: str | None = None
 ) -> DataFrame:
-    """(keys, para, n_words, digest) of every paragraph of every whole text, and its shingles."""
+    """(keys, para, n_words, digest) of every paragraph of every whole text.
+
+    ``extra`` adds its ``bands`` or its words as one ``line``.
+    """
     schema = docs.select(*keys).schema
     for column in _FOUND.split(", "):
         schema = schema.add(*column.split())
-    if with_shingles:
-        schema = schema.add("shingles", ArrayType(LongType()))
+    if extra:
+        schema = schema.add(extra, ArrayType(LongType()) if extra == "bands" else BinaryType())
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        functions = _hash_functions()
         for batch in batches:
             texts = batch.column("__text")
             for first in range(0, len(texts), 500):
-                at, para, n, digests, shingles = [], [], [], [], []
+                at, para, n, digests, more = [], [], [], [], []
                 for i, cell in enumerate(texts.slice(first, 500)):
-                    for line, words in paragraphs_of(cell.as_py(), least):
+                    for place, words in paragraphs_of(cell.as_py(), least):
+                        line = b" ".join(words)
                         at.append(first + i)
-                        para.append(line)
+                        para.append(place)
                         n.append(len(words))
-                        digests.append(hashlib.md5(b" ".join(words)).digest())
-                        if with_shingles:
-                            shingles.append(shingle_hashes(words))
+                        digests.append(hashlib.md5(line).digest())
+                        if extra:
+                            more.append(band_keys(words, functions) if extra == "bands" else line)
                 if at:
                     columns = [batch.column(c).take(pa.array(at)) for c in keys]
                     columns += [pa.array(para, pa.int32()), pa.array(n, pa.int32())]
                     columns.append(pa.array(digests, pa.binary()))
-                    if with_shingles:
-                        columns.append(pa.array(shingles, pa.list_(pa.int64())))
+                    if extra:
+                        kind = pa.list_(pa.int64()) if extra == "bands" else pa.binary()
+                        columns.append(pa.array(more, kind))
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(*keys, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
-def min_hash(values: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    """The smallest hash of a set under each of several hash functions (64-bit wrapping)."""
-    low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(values), 4096):
-        some = values[at : at + 4096].view(np.uint64)
-        mixed = (some ^ (some >> np.uint64(29)))[:, None] * factors + shifts
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        np.minimum(low, mixed.min(axis=0), out=low)
-    return low
-
-
-def band_keys(distinct: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(digest, band): one row per band of a paragraph's MinHash; the band's number is in it."""
-    random = np.random.default_rng(20240229)
-    factors = random.integers(1, 1 << 32, bands * rows, np.uint64) | np.uint64(1)
-    shifts = random.integers(0, 1 << 63, bands * rows, np.uint64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = np.empty((len(batch), bands), np.uint64)
-            for i, cell in enumerate(batch.column("shingles")):
-                low = min_hash(cell.values.to_numpy(), factors, shifts).reshape(bands, rows)
-                key = np.arange(1, bands + 1, dtype=np.uint64)
-                for r in range(rows):
-                    key = (key ^ low[:, r]) * np.uint64(0x100000001B3)
-                    key ^= key >> np.uint64(31)
-                out[i] = key
-            digests = batch.column("digest").take(np.repeat(np.arange(len(batch)), bands))
-            yield pa.RecordBatch.from_arrays(
-                [digests, pa.array(out.reshape(-1).view(np.int64))], names=["digest", "band"]
-            )
-
-    return distinct.select("digest", "shingles").mapInArrow(run, "digest binary, band long")
-
-
-def similar_pairs(distinct: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def similar_pairs(distinct: DataFrame, lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """Links (a, b) that connect all similar candidates among distinct paragraphs.
 
-    Everything in a band is compared with the band's centre, the paragraph whose bands are the
-    fullest; what is not similar to it, with everything in the band. Two paragraphs both similar
-    to the centre are connected through it, so no link between components is lost, and a large
-    cluster costs one comparison per paragraph instead of one per pair.
+    ``distinct`` has their ``digest`` and ``bands``; ``lines`` has ``digest`` and ``line`` of all
+    paragraphs, of which only those that share a band are kept. Everything in a band is compared
+    with the band's centre, the paragraph whose bands are the fullest; what is not similar to it,
+    with everything in the band. Two paragraphs both similar to the centre are connected through
+    it, so no link between components is lost, and a large cluster costs one comparison per
+    paragraph instead of one per pair.
     """
-    bands = band_keys(distinct)
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = settle(bands.join(shared, "band"))
-    sets = settle(distinct.join(members.select("digest").distinct(), "digest", "left_semi"))
+    bands = distinct.select("digest", F.explode("bands").alias("band"))
+    shared = settle(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
+    members = settle(bands.join(broadcast_when_small(shared), "band"))
+    wanted = settle(members.select("digest").distinct())
+    sets = settle(
+        lines.join(broadcast_when_small(wanted), "digest", "left_semi").dropDuplicates(["digest"])
+    )
     weight = members.groupBy("digest").agg(F.sum("n").alias("weight"))
     centre = (
         members.join(weight, "digest")
@@ -145,16 +191,12 @@ def similar_pairs(distinct: DataFrame, similar: float = SIMILAR) -> DataFrame:
         .agg(F.max(F.struct("weight", "digest"))["digest"].alias("centre"))
     )
     near = members.join(centre, "band").where("digest <> centre")
-    first = _verified(near.select(F.col("centre").alias("a"), F.col("digest").alias("b")), sets)
-    first = settle(first)
+    pairs = near.select(F.col("centre").alias("a"), F.col("digest").alias("b"))
+    first = settle(_verified(pairs, sets))
     linked = first.where(F.col("similarity") >= similar).select("a", "b")
-    apart = (
-        near.join(
-            linked.select(F.col("a").alias("centre"), F.col("b").alias("digest")),
-            ["centre", "digest"],
-            "left_anti",
-        )
-        .select("band", F.col("digest").alias("a"))
+    known = linked.select(F.col("a").alias("centre"), F.col("b").alias("digest"))
+    apart = near.join(known, ["centre", "digest"], "left_anti").select(
+        "band", F.col("digest").alias("a")
     )
     pairs = (
         apart.join(members.select("band", F.col("digest").alias("b")), "band")
@@ -166,20 +208,21 @@ def similar_pairs(distinct: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact Jaccard similarity of the shingle sets of each distinct pair (a, b)."""
+    """The exact ``similarity`` of each distinct pair (a, b)."""
     pairs = pairs.distinct()
     for side in ("a", "b"):
-        own = sets.select(F.col("digest").alias(side), F.col("shingles").alias(f"of_{side}"))
+        own = sets.select(F.col("digest").alias(side), F.col("line").alias(f"of_{side}"))
         pairs = pairs.join(own, side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = zip(batch.column("of_a"), batch.column("of_b"), strict=True)
             found = []
-            for x, y in sides:
-                p, q = x.values.to_numpy(), y.values.to_numpy()
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                found.append(both / (len(p) + len(q) - both))
+            last, p = None, set()
+            for x, y in zip(batch.column("of_a"), batch.column("of_b"), strict=True):
+                x, y = x.as_py(), y.as_py()
+                if x != last:
+                    last, p = x, shingles_of(x)
+                found.append(similarity(x, y, p, shingles_of(y)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())],
                 names=["a", "b", "similarity"],
@@ -204,20 +247,23 @@ def repeated_paragraphs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
     )
     keys = ["doc_id", "text_hash"]
+    # Equal paragraphs have equal bands, so any one of them serves.
     distinct = settle(
-        found_paragraphs(named, keys, least, with_shingles=True)
+        found_paragraphs(named, keys, least, "bands")
         .groupBy("digest")
-        .agg(F.first("shingles").alias("shingles"), F.count("*").alias("n"))
+        .agg(F.first("bands").alias("bands"), F.count("*").alias("n"))
     )
-    clusters = components(similar_pairs(distinct.select("digest", "shingles")))
+    lines = found_paragraphs(named, [], least, "line").select("digest", "line")
+    clusters = components(similar_pairs(distinct.select("digest", "bands"), lines))
     cluster = distinct.select("digest", "n").join(
         clusters.withColumnRenamed("node", "digest"), "digest", "left"
     )
     cluster = cluster.where("root IS NOT NULL OR n > 1").select(
         "digest", F.coalesce("root", "digest").alias("cluster")
     )
-    # The places are found again rather than kept with their shingles.
-    rows = settle(found_paragraphs(named, keys, least).join(cluster, "digest"))
+    # The places are found again rather than kept, and most are in no cluster.
+    small = broadcast_when_small(settle(cluster))
+    rows = settle(found_paragraphs(named, keys, least).join(small, "digest"))
     name = F.struct(
         F.col("doc_id").isNull().alias("unnamed"),
         F.col("doc_id").alias("doc"),

@@ -5,12 +5,30 @@ from meterline.llm import paragraphs
 from tests.llm.conftest import DOCS
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def linked(a, b):
+    p, q = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    if len(p & q) >= 0.8 * len(p | q):
+        return True
+    functions = paragraphs._hash_functions()
+    shared = paragraphs.band_keys(a, functions) == paragraphs.band_keys(b, functions)
+    return bool(shared.any()) and distance(a, b) <= 0.2 * max(len(a), len(b))
+
+
 def brute(docs, least=40):
     """(doc, line, removed) of every repeated paragraph, by comparing all pairs."""
     found = []
     for doc, text in docs:
         for line, words in paragraphs.paragraphs_of(text, least):
-            found.append((doc, line, {tuple(words[i : i + 5]) for i in range(len(words) - 4)}))
+            found.append((doc, line, words))
     parent = list(range(len(found)))
 
     def find(x):
@@ -18,11 +36,14 @@ def brute(docs, least=40):
             x = parent[x]
         return x
 
-    for i in range(len(found)):
-        for j in range(i):
-            a, b = found[i][2], found[j][2]
-            if len(a & b) >= 0.8 * len(a | b):
-                parent[find(i)] = find(j)
+    index = {}
+    for i, (_, _, words) in enumerate(found):
+        for shingle in {tuple(words[k : k + 5]) for k in range(len(words) - 4)}:
+            index.setdefault(shingle, []).append(i)
+    # Paragraphs without a common shingle have neither a common band nor any similarity.
+    for i, j in sorted({(a, b) for group in index.values() for a in group for b in group if a < b}):
+        if find(i) != find(j) and linked(found[i][2], found[j][2]):
+            parent[find(i)] = find(j)
     groups = defaultdict(list)
     for i, (doc, line, _) in enumerate(found):
         groups[find(i)].append((doc, line))
@@ -99,7 +120,24 @@ def test_long_paragraph_in_blocks():
 
     rng = np.random.default_rng(1)
     factors = rng.integers(1, 1 << 32, 8, np.uint64) | np.uint64(1)
-    values = rng.integers(0, 1 << 62, 10_000)
+    values = rng.integers(0, 1 << 62, 10_000, np.uint64)
     whole = paragraphs.min_hash(values, factors, factors)
     parts = [paragraphs.min_hash(values[i : i + 4096], factors, factors) for i in (0, 4096, 8192)]
     assert (whole == np.min(parts, axis=0)).all()
+
+
+def test_edit_distance():
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = ([rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randrange(9))] for _ in range(2))
+        assert paragraphs.edit_distance(a, b) == distance(a, b)
+
+
+def test_copies_with_two_typos_each_are_one_cluster(spark):
+    rng = random.Random(6)
+    words = [f"c{i}" for i in range(87)]
+    docs = [(i, " ".join(near(rng, words, 2 if i else 0))) for i in range(60)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS)
+    found = paragraphs.repeated_paragraphs(df).collect()
+    assert sorted((r["doc_id"], r["para"], r["removed"]) for r in found) == brute(docs)
+    assert len({r["cluster"] for r in found}) == 1 and len(found) == 60
