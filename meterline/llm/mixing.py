@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import WORD, word_count
+from meterline.llm.common import WORD, settle, word_count
+from meterline.plans.sizing import broadcast_when_small
 
 _SPACES = r"[\x20\x09-\x0D]*"
 
@@ -124,8 +125,11 @@ def mix(
             "__shards": F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)),
         }
     )
-    per_source = quotas.select(*source, "source_size", "target", "__blocks", "__shards")
-    placed = sized.join(per_source, source).withColumn(
+    per_source = settle(
+        quotas.select(*source, "source_size", "target", "__blocks", "__shards")
+    )
+    # Broadcast if it is small, so that texts are shuffled once, by shard, and never by source.
+    placed = sized.join(broadcast_when_small(per_source), source).withColumn(
         "__shard", F.pmod(F.col("__key"), F.col("__shards"))
     )
     shards = placed.groupBy(*source, "__shard").agg(
@@ -187,18 +191,13 @@ def mixed_texts(mixed: DataFrame) -> DataFrame:
     after a word stays with it. Documents of which nothing is taken give no row.
     """
     none = F.lit(None).cast("struct<from:long,to:long>")
-    whole = mixed.withColumn(
-        "__part", F.explode(F.array_repeat(none, F.col("copies").cast("int")))
-    )
-    cut = mixed.withColumn("__part", F.explode("spans"))
-    pieces = F.regexp_extract_all("text", F.lit(f"{WORD}{_SPACES}"), F.lit(0))
+    copies = F.array_repeat(none, F.when(F.col("size") > 0, F.col("copies")).otherwise(0).cast("int"))
+    parts = mixed.withColumn("__part", F.explode(F.concat(copies, F.col("spans"))))
+    words = F.regexp_extract_all("text", F.lit(f"{WORD}{_SPACES}"), F.lit(0))
     wanted = F.slice(
-        pieces,
+        words,
         (F.col("__part.from") + 1).cast("int"),
         (F.col("__part.to") - F.col("__part.from")).cast("int"),
     )
-    return (
-        whole.where("size > 0")
-        .unionByName(cut.withColumn("text", F.array_join(wanted, "")))
-        .drop("__part")
-    )
+    text = F.when(F.col("__part").isNull(), F.col("text")).otherwise(F.array_join(wanted, ""))
+    return parts.withColumn("text", text).drop("__part")

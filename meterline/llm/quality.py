@@ -183,11 +183,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs``, the base counts and the length-normalised ``score``."""
     ratios = docs.sparkSession.sparkContext.broadcast(model.ratios.astype(np.float64))
+    own = "text" if "text" in keep else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for cell in batch.column("__text"):
+            for cell in batch.column(own):
                 text = cell.as_py()
                 places = grams(text)
                 mean = float(ratios.value[places].mean()) if len(places) else 0.0
@@ -203,7 +204,8 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     schema = docs.select(*keep).schema
     for column in BASE.split(", "):
         schema = schema.add(*column.split())
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    read = docs.select(*keep) if own == "text" else docs.select(*keep, F.col("text").alias(own))
+    return read.mapInArrow(run, schema)
 
 
 def judge(
@@ -223,6 +225,7 @@ def judge(
     )
     good = F.lit(True) if model.threshold is None else F.col("score") >= model.threshold
     return (
-        score(docs, model, keep).withColumn("base_failed", failed)
+        score(docs, model, keep)
+        .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & good)
     )
