@@ -149,3 +149,37 @@ def test_late_rows_dropped_by_default_are_counted(spark, tmp_path):
     assert jobs.dropped_as_late(query) == 2
     first = spark.read.parquet(out).where(F.col("window_start") < F.lit("2024-01-01 12:01:00"))
     assert rows_of(first, "trip_count") == [(1,)]
+
+
+def test_peek_reads_a_topic_that_ends_now(spark, monkeypatch):
+    """The options given to the reader; no connector is installed here."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    from meterline.sources import topics
+    from meterline.sources.specs import RIDES
+
+    given = {}
+    records = spark.createDataFrame([('{"PULocationID": 3}',)] * 20, "value STRING")
+    monkeypatch.setattr(DataFrameReader, "format", lambda self, name: self)
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **o: given.update(o) or self)
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: records)
+    assert topics.peek_topic(spark, RIDES, "b:9092", 7).count() == 7
+    assert given["endingOffsets"] == "latest" and given["startingOffsets"] == "earliest"
+
+
+def test_zero_delay_drops_what_is_older_than_the_newest(spark, tmp_path):
+    """An ordered source needs no delay; then any older row is late."""
+    from dataclasses import replace
+
+    from meterline.operators import windows
+    from meterline.sources.specs import RIDES
+    from meterline.sources.topics import read_files
+    from meterline.streaming.sinks import to_memory
+    from tests.streams import ride, rows_of, run, write_batches
+
+    strict = replace(RIDES, delay="0 seconds")
+    folder = write_batches(tmp_path / "in", [ride(0), ride(61)], [ride(62)],
+                           [ride(59), ride(63)], [ride(200)], [ride(201)])
+    counts = windows.tumbling_revenue(read_files(spark, strict, folder), "1 minute")
+    run(to_memory(counts, "strict"), tmp_path / "cp")
+    assert rows_of(spark.table("strict"), "trip_count") == [(1,), (3,)]

@@ -5,7 +5,7 @@ import pytest
 from meterline.operators import joins, state, stateless, windows
 from meterline.plans import dashboard
 from meterline.sources.specs import DROPOFFS, PICKUPS, RIDES, to_sink_types
-from meterline.sources.topics import read_files
+from meterline.sources.topics import read_files, well_formed
 from meterline.streaming import jobs, processors
 from meterline.streaming.sinks import changelog, current_rows, read_changelog, to_memory
 from tests.streams import at, ride, rows_of, run, write_batches
@@ -20,7 +20,7 @@ FLUSH = [[ride(100_000, 9)], [ride(100_001, 9)]]
 
 
 def stream(spark, tmp_path, batches, spec=RIDES, name="in"):
-    return read_files(spark, spec, write_batches(tmp_path / name, *batches))
+    return well_formed(read_files(spark, spec, write_batches(tmp_path / name, *batches)))
 
 
 def table(spark, tmp_path, spec=RIDES, name="in"):
