@@ -1,23 +1,29 @@
 """Repeated paragraphs through MinHash banding.
 
-A paragraph is a line of at least ``MIN_WORDS`` words. Equal ones (same words) are collapsed
-first. The MinHash of the five-word shingles of each distinct paragraph is cut into bands; those
+A paragraph is a line of at least ``MIN_WORDS`` words, or as many words of consecutive shorter
+lines up to a blank one. Equal ones (same words) are collapsed first. The MinHash of the five-word shingles of each distinct paragraph is cut into bands; those
 that share a band are candidates, and candidates are linked if their exact Jaccard similarity or
 their edit similarity in words is 0.8 or more. Links make components, of which the first paragraph
 stays in its document.
 
 Jaccard alone would cut a large group of copies with a few typos each into thousands of parts that
 all have to be compared with each other: two typos in ninety words already leave less than 0.8.
+
+In what is left, every run of ``PASSAGE`` words that stands anywhere earlier goes too, wherever it
+begins and over line ends. Windows of ``ANCHOR`` words are picked by their content so that each
+such run holds at least one; only runs around a window that occurs again are compared.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
@@ -30,22 +36,42 @@ SHINGLE = 5
 SIMILAR = 0.8
 # A pair at 0.8 shares one of 16 bands of 4 with probability 1 - (1 - 0.8**4)**16 > 0.9997.
 BANDS, ROWS = 16, 4
+# The smallest of PASSAGE - ANCHOR + 1 neighbouring windows is picked: all that a passage holds.
+PASSAGE, ANCHOR = 50, 25
+_WORD = re.compile(rb"\S+")
 
-_FOUND = "para integer, n_words integer, digest binary"
+_FOUND = "para integer, first_word integer, n_words integer, digest binary"
 
 
-def paragraphs_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, list[bytes]]]:
-    """(line number, words) of each line with at least ``least`` words."""
+def units_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, int, list[bytes]]]:
+    """(line number, number of the first word in the text, words) of each paragraph."""
     found = []
+    line_at = first = 0
+    joined: list[bytes] = []
+    at = 0
     for i, line in enumerate((text or "").split("\n")):
-        # A word takes at least two characters, counting the space after it.
-        if len(line) >= 2 * least - 1:
-            words = line.encode("utf-8", "surrogatepass").split()
-            if len(words) >= least:
-                found.append((i, words))
+        words = line.encode("utf-8", "surrogatepass").split()
+        if words and len(words) < least:
+            if not joined:
+                line_at, first = i, at
+            joined += words
+        else:
+            if len(joined) >= least:
+                found.append((line_at, first, joined))
+            joined = []
+            if words:
+                found.append((i, at, words))
+        at += len(words)
+    if len(joined) >= least:
+        found.append((line_at, first, joined))
     return found
 
 
+def paragraphs_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, list[bytes]]]:
+    """(line number, words) of each paragraph with at least ``least`` words."""
+    return [(line, words) for line, _, words in units_of(text, least)]
+
+
 def shingle_hashes(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     """64-bit hashes of the windows of ``size`` words (fewer words: of all), repeats included."""
     import xxhash
@@ -129,7 +155,7 @@ def band_keys(words: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> n
 def found_paragraphs(
     docs: DataFrame, keys: list[str], least: int = MIN_WORDS, extra: str | None = None
 ) -> DataFrame:
-    """(keys, para, n_words, digest) of every paragraph of every whole text.
+    """(keys, para, first_word, n_words, digest) of every paragraph of every whole text.
 
     ``extra`` adds its ``bands`` or its words as one ``line``.
     """
@@ -145,19 +171,20 @@ def found_paragraphs(
         for batch in batches:
             texts = batch.column("__text")
             for first in range(0, len(texts), 500):
-                at, para, n, digests, more = [], [], [], [], []
+                at, para, places, n, digests, more = [], [], [], [], [], []
                 for i, cell in enumerate(texts.slice(first, 500)):
-                    for place, words in paragraphs_of(cell.as_py(), least):
+                    for number, place, words in units_of(cell.as_py(), least):
                         line = b" ".join(words)
                         at.append(first + i)
-                        para.append(place)
+                        para.append(number)
+                        places.append(place)
                         n.append(len(words))
                         digests.append(hashlib.md5(line).digest())
                         if extra:
                             more.append(band_keys(words, functions) if extra == "bands" else line)
                 if at:
                     columns = [batch.column(c).take(pa.array(at)) for c in keys]
-                    columns += [pa.array(para, pa.int32()), pa.array(n, pa.int32())]
+                    columns += [pa.array(x, pa.int32()) for x in (para, places, n)]
                     columns.append(pa.array(digests, pa.binary()))
                     if extra:
                         kind = pa.list_(pa.int64()) if extra == "bands" else pa.binary()
@@ -232,13 +259,201 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "of_a", "of_b").mapInArrow(run, schema)
 
 
+def _name(place: str) -> Column:
+    """The order of occurrences: by ``doc_id`` (null last), text hash and place in the text."""
+    return F.struct(
+        F.col("doc_id").isNull().alias("unnamed"),
+        F.col("doc_id").alias("doc"),
+        F.col("text_hash").alias("hash"),
+        F.col(place).alias("place"),
+    )
+
+
+def _ranges(rows: DataFrame) -> DataFrame:
+    """(__doc, __hash, __gone): the word ranges (first, number) that go from each text."""
+    return rows.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(
+        F.collect_set(F.struct("first_word", "n_words")).alias("__gone")
+    )
+
+
+_SAME = "doc_id <=> __doc AND text_hash = __hash"
+
+
+def _pieces(text: str, gone: list[dict]) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first word, words) of the parts between ranges that go."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    start = 0
+    for first, n in sorted((g["first_word"], g["n_words"]) for g in gone):
+        if first - start >= PASSAGE:
+            yield start, words[start:first]
+        start = max(start, first + n)
+    if len(words) - start >= PASSAGE:
+        yield start, words[start:]
+
+
+def anchors_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of windows of ``ANCHOR`` words, one at least in every ``PASSAGE`` words.
+
+    Which windows of a passage are picked inside it depends on the passage's words alone.
+    """
+    import xxhash
+
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(w) for w in words], np.uint64)
+    base = 0x9E3779B97F4A7C15
+    powers = np.full(len(words) + 1, base, np.uint64)
+    back = np.full(len(words) + 1, pow(base, -1, 1 << 64), np.uint64)
+    powers[0] = back[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    np.multiply.accumulate(back, out=back)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(hashes * powers[:-1], out=sums[1:])
+    windows = (sums[ANCHOR:] - sums[:-ANCHOR]) * back[: len(words) - ANCHOR + 1]
+    windows ^= windows >> np.uint64(31)
+    windows *= np.uint64(0xBF58476D1CE4E5B9)
+    windows ^= windows >> np.uint64(29)
+    near = np.lib.stride_tricks.sliding_window_view(windows, PASSAGE - ANCHOR + 1)
+    picked = np.unique(near.argmin(axis=1) + np.arange(len(near)))
+    return picked, windows[picked].view(np.int64)
+
+
+def _anchors(named: DataFrame, gone: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, anchor, at) of the picked windows of each text less what goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, anchors, places = [], [], []
+            for i, (text, ranges) in enumerate(
+                zip(batch.column("text"), batch.column("__gone"), strict=True)
+            ):
+                for first, words in _pieces(text.as_py() or "", ranges.as_py() or []):
+                    picked, hashes = anchors_of(words)
+                    rows.append(np.full(len(picked), i))
+                    anchors.append(hashes)
+                    places.append(picked + first)
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).take(at) for c in ("doc_id", "text_hash")),
+                        pa.array(np.concatenate(anchors), pa.int64()),
+                        pa.array(np.concatenate(places), pa.int32()),
+                    ],
+                    names=["doc_id", "text_hash", "anchor", "at"],
+                )
+
+    kind = named.schema["doc_id"].dataType.simpleString()
+    joined = named.join(gone, F.expr(_SAME), "left").select("doc_id", "text_hash", "text", "__gone")
+    return joined.mapInArrow(run, f"doc_id {kind}, text_hash long, anchor long, at int")
+
+
+def _windows(wanted: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, para, start, digest) of the passages around the windows ``__at``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                text = batch.column("text")[i].as_py() or ""
+                lines = [len(x.split()) for x in text.encode("utf-8", "surrogatepass").split(b"\n")]
+                ends = np.cumsum(lines)
+                at = np.unique(np.array(batch.column("__at")[i].as_py()))
+                near = (at[:, None] - np.arange(PASSAGE - ANCHOR + 1)).reshape(-1)
+                near = np.unique(near)
+                starts, digests = [], []
+                for first, words in _pieces(text, batch.column("__gone")[i].as_py() or []):
+                    inside = near[(near >= first) & (near + PASSAGE <= first + len(words))]
+                    for start in inside.tolist():
+                        line = b" ".join(words[start - first : start - first + PASSAGE])
+                        starts.append(start)
+                        digests.append(hashlib.md5(line).digest())
+                if starts:
+                    same = pa.array(np.full(len(starts), i))
+                    para = np.searchsorted(ends, starts, side="right")
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(batch.column(c).take(same) for c in ("doc_id", "text_hash")),
+                            pa.array(para, pa.int32()),
+                            pa.array(starts, pa.int32()),
+                            pa.array(digests, pa.binary()),
+                        ],
+                        names=["doc_id", "text_hash", "para", "start", "digest"],
+                    )
+
+    kind = wanted.schema["doc_id"].dataType.simpleString()
+    return wanted.select("doc_id", "text_hash", "text", "__gone", "__at").mapInArrow(
+        run, f"doc_id {kind}, text_hash long, para int, start int, digest binary"
+    )
+
+
+def repeated_passages(named: DataFrame, removed: DataFrame) -> DataFrame:
+    """Runs of ``PASSAGE`` words or more that stand earlier, in texts less the rows ``removed``.
+
+    Columns are those of ``repeated_paragraphs``. Every word of a window of ``PASSAGE`` words that
+    occurs earlier belongs to a run; inside one text only if both occurrences do not overlap. For
+    each ``cluster``, the words a run begins with, there is also a row where they occur first.
+    """
+    gone = broadcast_when_small(settle(_ranges(removed)))
+    anchors = settle(_anchors(named, gone))
+    shared = settle(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
+    places = settle(
+        anchors.join(broadcast_when_small(shared), "anchor")
+        .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
+        .agg(F.collect_set("at").alias("__at"))
+    )
+    wanted = named.join(
+        broadcast_when_small(places), F.expr("doc_id <=> __id AND text_hash = __text")
+    ).join(gone, F.expr(_SAME), "left")
+    windows = settle(_windows(wanted))
+    first = windows.groupBy("digest").agg(F.min(_name("start")).alias("keeper"))
+    own = _name("start")
+    overlaps = (
+        F.col("doc_id").eqNullSafe(F.col("keeper.doc"))
+        & (F.col("text_hash") == F.col("keeper.hash"))
+        & (F.col("start") < F.col("keeper.place") + PASSAGE)
+    )
+    later = windows.join(first, "digest").where((own != F.col("keeper")) & ~overlaps).distinct()
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("start")
+    opens = F.coalesce(F.col("start") > F.lag("start").over(order) + PASSAGE, F.lit(True))
+    runs = settle(
+        later.withColumn("opens", opens.cast("int"))
+        .withColumn("run", F.sum("opens").over(order))
+        .groupBy("doc_id", "text_hash", "run")
+        .agg(
+            F.min(F.struct("start", "para", "digest", "keeper")).alias("first"),
+            (F.max("start") - F.min("start") + PASSAGE).cast("int").alias("n_words"),
+        )
+        .select("doc_id", "text_hash", "first.*", "n_words")
+    )
+    kept = runs.select("digest", "keeper").distinct().withColumnRenamed("keeper", "of")
+    kept = windows.join(kept, "digest").where(own == F.col("of"))
+    rows = runs.withColumn("removed", F.lit(True)).unionByName(
+        kept.select(
+            *("doc_id", "text_hash", "start", "para", "digest"),
+            F.col("of").alias("keeper"),
+            F.lit(PASSAGE).alias("n_words"),
+            F.lit(False).alias("removed"),
+        )
+    )
+    return rows.select(
+        "doc_id",
+        "text_hash",
+        "para",
+        F.col("start").alias("first_word"),
+        "n_words",
+        F.lower(F.hex("digest")).alias("cluster"),
+        F.col("keeper.doc").alias("keeper_doc_id"),
+        "removed",
+    )
+
+
 def repeated_paragraphs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """Every paragraph that occurs again, exactly or nearly: one row per occurrence.
+    """Every paragraph that occurs again, exactly or nearly, and every passage: a row each time.
 
     Input: ``doc_id``, ``text`` and any other columns. Result: ``doc_id``, ``text_hash`` (which
-    with ``doc_id`` names the row), ``para`` (the line's number from 0), ``n_words``,
-    ``cluster`` (hex digest that is the same for all occurrences), ``keeper_doc_id`` and
-    ``removed``: all but the first occurrence by (``doc_id``, text hash, line) go.
+    with ``doc_id`` names the row), ``para`` (the number of the line it begins in, from 0),
+    ``first_word`` (its number in the text, from 0), ``n_words``, ``cluster`` (hex digest that is
+    the same for all occurrences), ``keeper_doc_id`` and ``removed``: all but the first occurrence
+    by (``doc_id``, text hash, place) go. Passages are those of ``repeated_passages``.
 
     Null and empty texts have no paragraphs. A null ``doc_id`` comes last. Rows equal in
     ``doc_id`` and text have the same name, hence the same fate. An empty table gives no rows.
@@ -264,49 +479,80 @@ def repeated_paragraphs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     # The places are found again rather than kept, and most are in no cluster.
     small = broadcast_when_small(settle(cluster))
     rows = settle(found_paragraphs(named, keys, least).join(small, "digest"))
-    name = F.struct(
-        F.col("doc_id").isNull().alias("unnamed"),
-        F.col("doc_id").alias("doc"),
-        F.col("text_hash").alias("hash"),
-        F.col("para").alias("para"),
-    )
+    name = _name("para")
     first = rows.groupBy("cluster").agg(F.min(name).alias("keeper"))
-    return rows.join(first, "cluster").select(
-        "doc_id",
-        "text_hash",
-        "para",
-        "n_words",
-        F.lower(F.hex("cluster")).alias("cluster"),
-        F.col("keeper.doc").alias("keeper_doc_id"),
-        (name != F.col("keeper")).alias("removed"),
+    whole = settle(
+        rows.join(first, "cluster").select(
+            "doc_id",
+            "text_hash",
+            "para",
+            "first_word",
+            "n_words",
+            F.lower(F.hex("cluster")).alias("cluster"),
+            F.col("keeper.doc").alias("keeper_doc_id"),
+            (name != F.col("keeper")).alias("removed"),
+        )
     )
+    return whole.unionByName(repeated_passages(named, whole.where("removed")))
+
+
+def without_words(text: str, gone: list[dict]) -> str:
+    """A text less ranges of its words; lines that had words and have none left go whole."""
+    ranges = sorted((g["first_word"], g["first_word"] + g["n_words"]) for g in gone)
+    lines, at, r = [], 0, 0
+    for line in text.split("\n"):
+        raw = line.encode("utf-8", "surrogatepass")
+        words = list(_WORD.finditer(raw))
+        end, kept, left, cut = at + len(words), [], 0, 0
+        while r < len(ranges) and ranges[r][0] < end:
+            a, b = max(ranges[r][0], at), min(ranges[r][1], end)
+            if b > a:
+                kept.append(raw[left : words[a - at].start()])
+                # The space after the range goes with it.
+                left = words[b - at].start() if b < end else len(raw.rstrip())
+                cut += b - a
+            if ranges[r][1] > end:
+                break
+            r += 1
+        at = end
+        if not cut:
+            lines.append(line)
+        elif cut < len(words):
+            rest = b"".join([*kept, raw[left:]])
+            lines.append(rest.decode("utf-8", "surrogatepass"))
+    return "\n".join(lines)
 
 
 def without_repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the removed paragraphs cut out of ``text`` and ``n_chars`` set anew.
+    """``docs`` with removed paragraphs and passages cut out of ``text``, ``n_chars`` set anew.
 
     Texts without such paragraphs stay as they are, byte for byte; a document of which no word is
     left goes. Of rows equal in ``doc_id`` and text each is treated alike. Other columns stay.
     """
-    gone = (
-        repeated_paragraphs(docs, least)
-        .where("removed")
-        .groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"))
-        .agg(F.collect_set("para").alias("__gone"))
-    )
+    gone = settle(_ranges(repeated_paragraphs(docs, least).where("removed")))
     hashed = docs.withColumn("__own", F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__hash"))
-    joined = hashed.join(gone, same, "left")
-    lines = F.filter(
-        F.split("text", "\n", -1), lambda _, i: ~F.array_contains(F.col("__gone"), i.cast("int"))
-    )
-    cut = F.col("__gone").isNotNull()
-    text = F.when(cut, F.array_join(lines, "\n")).otherwise(F.col("text"))
-    left = joined.withColumn("__left", text).where(
-        ~cut | F.col("__left").rlike(f"[^{SPACES}]")
-    )
-    columns = {"text": F.col("__left")}
-    if "n_chars" in docs.columns:
-        count = F.when(cut, F.length("__left").cast("long")).otherwise(F.col("n_chars"))
-        columns["n_chars"] = count
-    return left.withColumns(columns).select(*docs.columns)
+    joined = hashed.join(broadcast_when_small(gone), same, "left")
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays, texts, counts = [], [], []
+            for i, ranges in enumerate(batch.column("__gone")):
+                text = batch.column("text")[i].as_py()
+                if ranges.is_valid:
+                    text = without_words(text, ranges.as_py())
+                    if not text.strip(SPACES):
+                        continue
+                stays.append(i)
+                texts.append(text)
+                counts.append(len(text) if ranges.is_valid else None)
+            left = batch.select(columns).take(pa.array(stays, pa.int64()))
+            arrays = dict(zip(columns, left.columns, strict=True))
+            arrays["text"] = pa.array(texts, pa.string())
+            if "n_chars" in arrays:
+                old = arrays["n_chars"]
+                arrays["n_chars"] = pc.coalesce(pa.array(counts, pa.int64()).cast(old.type), old)
+            yield pa.RecordBatch.from_arrays([arrays[c] for c in columns], names=columns)
+
+    return joined.select(*columns, "__gone").mapInArrow(run, docs.schema)

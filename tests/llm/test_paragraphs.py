@@ -141,3 +141,55 @@ def test_copies_with_two_typos_each_are_one_cluster(spark):
     found = paragraphs.repeated_paragraphs(df).collect()
     assert sorted((r["doc_id"], r["para"], r["removed"]) for r in found) == brute(docs)
     assert len({r["cluster"] for r in found}) == 1 and len(found) == 60
+
+
+def cut_brute(docs, size=50):
+    """Words of each text outside the windows that occur earlier, by looking at all windows."""
+    seen, left = {}, {}
+    for doc, text in docs:
+        words = text.split()
+        gone = set()
+        for i in range(len(words) - size + 1):
+            first = seen.setdefault(tuple(words[i : i + size]), (doc, i))
+            if first[0] != doc or i - first[1] >= size:
+                gone |= set(range(i, i + size))
+        left[doc] = [w for i, w in enumerate(words) if i not in gone]
+    return left
+
+
+def test_passages_in_lines_and_over_line_ends(spark):
+    rng = random.Random(5)
+    docs = []
+    passage = [[f"p{k}x{j}" for j in range(50 + 7 * k)] for k in range(4)]
+    for i in range(24):
+        own = [f"own{i}x{j}" for j in range(140)]
+        at, shared = rng.randrange(20, 120), passage[i % 4]
+        if i % 3 == 1:
+            # Short lines with ends at other places in each text.
+            shared = [w + "\n" if rng.random() < 0.1 else w for w in shared]
+        docs.append((i, " ".join(own[:at] + shared + own[at:]).replace("\n ", "\n")))
+    docs.append((24, "\n".join(" ".join(passage[0][a : a + 10]) for a in range(0, 50, 10))))
+    docs.append((25, "again " * 400 + "end"))
+    docs.append((26, " ".join(passage[3][:49])))
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS).repartition(5)
+    left = {r["doc_id"]: r["text"] for r in paragraphs.without_repeats(df).collect()}
+    want = cut_brute(docs)
+    assert not want.pop(24) and 24 not in left
+    assert {d: t.split() for d, t in left.items()} == want
+    assert len(want[26]) == 49 and len(want[5]) == 140 and len(want[25]) < 110
+    removed = [r for r in paragraphs.repeated_paragraphs(df).collect() if r["removed"]]
+    assert {r["doc_id"] for r in removed} == {*range(4, 25), 25}
+    assert {r["keeper_doc_id"] for r in removed if r["doc_id"] < 24} == {0, 1, 2, 3}
+
+
+def test_paragraphs_of_short_lines(spark):
+    rng = random.Random(7)
+    words = [f"s{j}" for j in range(48)]
+
+    def block(ws):
+        return "\n".join(" ".join(ws[a : a + 8]) for a in range(0, 48, 8))
+
+    docs = [(1, "title one\n\n" + block(words)), (2, "another\n\n" + block(near(rng, words, 1)) + "\n\nend")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS)
+    left = {r["doc_id"]: r["text"] for r in paragraphs.without_repeats(df).collect()}
+    assert left == {1: docs[0][1], 2: "another\n\n\nend"}
