@@ -111,11 +111,11 @@ def edit_distance(a: list[bytes], b: list[bytes]) -> int:
     return distance
 
 
-def similarity(a: bytes, b: bytes, of_a: set, of_b: set) -> float:
+def similarity(a: bytes, b: bytes, of_a: set, of_b: set, edits: bool = True) -> float:
     """The larger of the exact Jaccard similarity and, if that is too low, of the edit one."""
     both = len(of_a & of_b)
     jaccard = both / (len(of_a) + len(of_b) - both)
-    if jaccard >= SIMILAR:
+    if jaccard >= SIMILAR or not edits:
         return jaccard
     words = a.split(b" "), b.split(b" ")
     longer = max(map(len, words))
@@ -194,7 +194,9 @@ def found_paragraphs(
     return docs.select(*keys, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
-def similar_pairs(distinct: DataFrame, lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def similar_pairs(
+    distinct: DataFrame, lines: DataFrame, similar: float = SIMILAR, edits: bool = True
+) -> DataFrame:
     """Links (a, b) that connect all similar candidates among distinct paragraphs.
 
     ``distinct`` has their ``digest`` and ``bands``; ``lines`` has ``digest`` and ``line`` of all
@@ -202,7 +204,7 @@ def similar_pairs(distinct: DataFrame, lines: DataFrame, similar: float = SIMILA
     with the band's centre, the paragraph whose bands are the fullest; what is not similar to it,
     with everything in the band. Two paragraphs both similar to the centre are connected through
     it, so no link between components is lost, and a large cluster costs one comparison per
-    paragraph instead of one per pair.
+    paragraph instead of one per pair. Without ``edits`` Jaccard similarity alone counts.
     """
     bands = distinct.select("digest", F.explode("bands").alias("band"))
     shared = settle(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
@@ -219,7 +221,7 @@ def similar_pairs(distinct: DataFrame, lines: DataFrame, similar: float = SIMILA
     )
     near = members.join(centre, "band").where("digest <> centre")
     pairs = near.select(F.col("centre").alias("a"), F.col("digest").alias("b"))
-    first = settle(_verified(pairs, sets))
+    first = settle(_verified(pairs, sets, edits))
     linked = first.where(F.col("similarity") >= similar).select("a", "b")
     known = linked.select(F.col("a").alias("centre"), F.col("b").alias("digest"))
     apart = near.join(known, ["centre", "digest"], "left_anti").select(
@@ -230,11 +232,11 @@ def similar_pairs(distinct: DataFrame, lines: DataFrame, similar: float = SIMILA
         .where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
-    second = _verified(pairs, sets).where(F.col("similarity") >= similar)
+    second = _verified(pairs, sets, edits).where(F.col("similarity") >= similar)
     return linked.unionByName(second.select("a", "b"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, edits: bool) -> DataFrame:
     """The exact ``similarity`` of each distinct pair (a, b)."""
     pairs = pairs.distinct()
     for side in ("a", "b"):
@@ -249,7 +251,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 x, y = x.as_py(), y.as_py()
                 if x != last:
                     last, p = x, shingles_of(x)
-                found.append(similarity(x, y, p, shingles_of(y)))
+                found.append(similarity(x, y, p, shingles_of(y), edits))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())],
                 names=["a", "b", "similarity"],
