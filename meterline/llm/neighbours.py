@@ -22,6 +22,8 @@ from meterline.llm.common import settle
 
 TABLES = 16
 PROBES = 8
+# At any size: with these tables and probes, two hashes find little more than half.
+HASHES = 1
 BUCKET = 4096
 SPARE = 4
 _WIDE = 1 << 40
@@ -120,7 +122,7 @@ def nearest(
     k: int = 20,
     tables: int = TABLES,
     probes: int = PROBES,
-    hashes: int | None = None,
+    hashes: int = HASHES,
     seed: int = 7,
 ) -> DataFrame:
     """The ``k`` nearest other rows of every row for which ``query`` (over vec_id) holds.
@@ -129,7 +131,8 @@ def nearest(
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` (inner product in double precision,
     summed in order of components), best first, ties to the smaller ``vec_id``.
 
-    ``hashes`` per bucket grow with the logarithm of the number of vectors if not given. Equal
+    ``hashes`` per bucket stay the same whatever the number of vectors, so that the share of them
+    that a query is compared with, and with it the recall, does too; more need more probes. Equal
     vectors are searched once and their ids expanded afterwards; a bucket of many vectors is dealt
     over several tasks. A query that the tables give fewer than ``k`` rows is searched against all
     vectors in blocks. Vectors that take part are those of ``usable``; others neither ask nor are
@@ -160,9 +163,6 @@ def nearest(
     if not n:
         return _ranked(asked.select("cid", F.col("cid").alias("other")), classes, asking, k)
     uneven = longest - shortest > 1e-3 * longest
-    if hashes is None:
-        axes = 2 << max(1, math.ceil(math.log2(dims + uneven)))
-        hashes = max(1, round(math.log(max(n, 1) / 4096) / math.log(axes)))
     hasher = Hasher(dims, longest if uneven else None, tables, hashes, seed)
     index = classes.select("cid", "embedding")
     filed = _filed(index, hasher, 1, False)

@@ -121,3 +121,38 @@ def test_transform_is_orthonormal():
     x = np.random.default_rng(0).normal(size=(5, 64))
     y = neighbours.hadamard(x)
     assert np.allclose((x * x).sum(1), (y * y).sum(1)) and np.allclose(neighbours.hadamard(y), x)
+
+
+def test_hashes_do_not_grow_with_the_number_of_vectors(spark, monkeypatch):
+    used = []
+    init = neighbours.Hasher.__init__
+
+    def watched(self, dims, top, tables, hashes, seed):
+        used.append(hashes)
+        init(self, dims, top, tables, hashes, seed)
+
+    monkeypatch.setattr(neighbours.Hasher, "__init__", watched)
+    # 1,200,000 vectors of two dimensions, where the former switch gave more than one hash.
+    rows = spark.range(1_200_000).select(
+        F.col("id").alias("vec_id"),
+        F.array(F.cos(F.col("id") % 50), F.sin(F.col("id") % 50)).cast("array<float>").alias("embedding"),
+    )
+    neighbours.nearest(rows, F.col("vec_id") == 0)
+    assert used == [neighbours.HASHES]
+
+
+def test_recall_of_the_production_parameters(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    x = np.array([r["embedding"] for r in table], np.float64)
+    asked = [i for i, r in enumerate(table) if r["vec_id"] % 20 == 0]
+    recalls = []
+    for hashes in (neighbours.HASHES, 2, 3):
+        hasher = neighbours.Hasher(x.shape[1], None, neighbours.TABLES, hashes, 7)
+        own = hasher.buckets(x, 1, False)
+        hits = 0
+        for i, probed in zip(asked, hasher.buckets(x[asked], neighbours.PROBES, True)):
+            scores = x @ x[i]
+            scores[i] = -np.inf
+            hits += np.isin(own[np.argsort(-scores)[:20]], probed).any(axis=1).sum()
+        recalls.append(hits / (20 * len(asked)))
+    assert recalls[0] >= 0.9 > recalls[1] > recalls[2]
