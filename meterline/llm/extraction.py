@@ -201,6 +201,26 @@ def is_noise(node: Node, inside: bool) -> bool:
     return False
 
 
+def is_template(node: Node, template: set[int], inside: bool) -> bool:
+    """Whether an element is the site's; never one that holds an article or is an article's text.
+
+    ``inside``: it stands in an article or main, where only what has no text outside links can go.
+    """
+    if node.hash not in template:
+        return False
+    waiting: list = [node]
+    while waiting:
+        item = waiting.pop()
+        if isinstance(item, str):
+            if inside and item.strip():
+                return False
+        elif item.tag in ("article", "main"):
+            return False
+        elif item.tag != "a":
+            waiting += item.children
+    return True
+
+
 def article_text(root: Node, template: set[int]) -> str:
     """The article's blocks outside the template, white space collapsed, a blank line between."""
     kept: set[int] = set()
@@ -208,7 +228,8 @@ def article_text(root: Node, template: set[int]) -> str:
     waiting = [(root, False, False)]
     while waiting:
         node, in_main, in_article = waiting.pop()
-        if node.hash in template or is_noise(node, in_main or in_article):
+        inside = in_main or in_article
+        if is_template(node, template, inside) or is_noise(node, inside):
             continue
         kept.add(id(node))
         if node.tag == "article" and not in_article:
@@ -262,38 +283,42 @@ def host_of(url: Column) -> Column:
 def template_subtrees(pages: DataFrame, *, least_pages: int, share: float) -> DataFrame:
     """(host, templates): hashes of the subtrees on at least ``share`` of a host's pages.
 
-    Equal pages of a host count as one, so copies of a page are no template; a host needs
-    ``least_pages`` different pages. An average page has room for few subtrees that most pages
-    hold, which bounds a host's list.
+    Pages of a host with equal text but for noise count as one, so that an article under several
+    menus is no template; a host needs ``least_pages`` different texts. An average page has room
+    for few subtrees that most pages hold, which bounds a host's list.
     """
+    import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, hashes = [], []
+            at, contents, hashes = [], [], []
             for i, page in enumerate(batch.column("html")):
                 root = parse(page.as_py())
                 hash_subtrees(root)
                 found = {signed(n.hash) for n in walk(root) if n.tag not in ("", "html", "body")}
-                at += [i] * len(found)
-                hashes += found
+                text = article_text(root, set()).encode("utf-8", "surrogatepass")
+                # Without a subtree, the row counts the page itself.
+                at += [i] * (len(found) + 1)
+                contents += [signed(xxhash.xxh64_intdigest(text))] * (len(found) + 1)
+                hashes += [*found, None]
             rows = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("host").take(rows),
-                    batch.column("page").take(rows),
+                    pa.array(contents, pa.int64()),
                     pa.array(hashes, pa.int64()),
                 ],
                 names=["host", "page", "subtree"],
             )
 
-    keyed = pages.where("html IS NOT NULL").select(
-        host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), "html"
-    )
+    keyed = pages.where("html IS NOT NULL").select(host_of(F.col("url")).alias("host"), "html")
     found = keyed.mapInArrow(run, "host string, page long, subtree long")
     counts = found.groupBy("host", "subtree").agg(F.countDistinct("page").alias("n"))
-    sizes = keyed.groupBy("host").agg(F.countDistinct("page").alias("pages"))
+    counts = settle(counts.where(F.col("n") >= least_pages * share))
+    sizes = counts.where("subtree IS NULL").select("host", F.col("n").alias("pages"))
     return (
-        counts.join(sizes.where(F.col("pages") >= least_pages), "host")
+        counts.where("subtree IS NOT NULL")
+        .join(sizes.where(F.col("pages") >= least_pages), "host")
         .where(F.col("n") >= F.col("pages") * share)
         .groupBy("host")
         .agg(F.collect_list("subtree").alias("templates"))

@@ -72,3 +72,32 @@ def test_query_on_given_pages(spark):
 
 def test_no_pages(spark):
     assert extraction.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_article_shared_by_most_pages_of_a_host_stays(spark):
+    def page(i, article, advert=""):
+        return (f"<body><nav>menu {i}</nav><div><p>Welcome here</p></div><div><article><h1>One</h1>"
+                f"<p>{article}</p><div class=ad>ad {i}</div>{advert}</article></div></body>")
+
+    rows = [(i, f"http://same.example/{i}", page(i, "same story"), "x", 1) for i in range(20)]
+    rows += [(100 + i, f"http://most.example/{i}", page(i, "same story" if i < 14 else f"story {i}"), "x", 1)
+             for i in range(24)]
+    rows += [(200 + i, f"http://edited.example/{i}", page(i, "same story", f"<p>line {i}</p>"), "x", 1)
+             for i in range(20)]
+    # Without an article element, what most texts hold is still the template.
+    rows += [(300 + i, f"http://plain.example/{i}", f"<body><p>Welcome here</p><p>story {i}</p></body>", "x", 1)
+             for i in range(20)]
+    found = {r["page_id"]: r["text"] for r in extraction.extract(
+        spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert {found[i] for i in range(20)} == {"One\n\nsame story"}
+    assert found[105] == "One\n\nsame story" and found[120] == "One\n\nstory 20"
+    assert found[207] == "One\n\nsame story\n\nline 7"
+    assert found[304] == "story 4"
+
+
+def test_main_shared_by_most_pages_of_a_host_stays(spark):
+    rows = [(i, f"http://main.example/{i}",
+             f"<body><div>menu {i}</div><main><p>same story</p><p>line {i}</p></main></body>", "x", 1)
+            for i in range(20)]
+    found = extraction.extract(spark.createDataFrame(rows, PAGES)).collect()
+    assert {r["text"] for r in found} == {f"same story\n\nline {i}" for i in range(20)}
