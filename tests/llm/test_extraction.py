@@ -101,3 +101,11 @@ def test_main_shared_by_most_pages_of_a_host_stays(spark):
             for i in range(20)]
     found = extraction.extract(spark.createDataFrame(rows, PAGES)).collect()
     assert {r["text"] for r in found} == {f"same story\n\nline {i}" for i in range(20)}
+
+
+def test_stray_quotes_in_tags():
+    assert text_of("<p title=it's>Hello world</p><p>rest of page</p>") == "Hello world\n\nrest of page"
+    stray = '<a href="x"">link text</a><p>more text</p> <b class="y">z</b>'
+    assert text_of(stray) == "link text\n\nmore text\n\nz"
+    assert text_of("<p title = 'a > b' x=\"c > d\" y==>x</p>") == "x"
+    assert text_of('<p title="open > <b>x') == ""
