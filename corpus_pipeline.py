@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import copies, mixing, packing, paragraphs, quality
+from meterline.llm import mixing, packing, paragraphs, quality, simhash
 from meterline.plans.shared import materialize
 
 
@@ -19,8 +19,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (five-word Jaccard 0.8), as it is."""
-    return copies.one_per_group(docs)
+    """One document of each component of SimHash near copies (three words, two bits), as it is."""
+    return simhash.one_per_group(docs)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
