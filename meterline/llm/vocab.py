@@ -22,6 +22,7 @@ _LETTER = "A-Za-z" + "".join(map(chr, [0xC0, 45, 0xD6, 0xD8, 45, 0xF6, 0xF8, 45,
 _CUT = re.compile(
     rf"(?s).[^ \n.,]*(?:(?:(?<![{_LETTER}])[.,]|[ \n](?![^{_BLANK}]))[^ \n.,]*)*"
 )
+_OPEN_END = re.compile(rf"[{_BLANK}]\Z")
 _KNOWN: dict[str, "Encoder"] = {}
 
 
@@ -60,8 +61,15 @@ class Encoder:
         known = self.ids
         missing = list({c for cut in cuts for c in cut if c not in known})
         if self.lengths is not None:
-            # One text costs less than many. A cut's first blank keeps it apart from the one before.
-            run = [c for c in missing if c[0] in " \n" and not any(s in c for s in self.special)]
+            # One text costs less than many. A cut's first blank keeps it apart from the one before,
+            # unless that one ends in white space, with which it would form one pre-token.
+            run = [
+                c
+                for c in missing
+                if c[0] in " \n"
+                and not _OPEN_END.search(c)
+                and not any(s in c for s in self.special)
+            ]
             for at in range(0, len(run), 2000):
                 self._encode_run(run[at : at + 2000])
             missing = [c for c in missing if c not in known]
@@ -72,13 +80,14 @@ class Encoder:
         return [b"".join([known[c] for c in cut]) for cut in cuts]
 
     def _encode_run(self, cuts: list[str]) -> None:
+        """Learn the ids of cuts from their joined text; of none if ids run across a cut."""
         whole = self.model.encode_batch_fast(["".join(cuts)], add_special_tokens=False)[0].ids
         ids = np.array(whole, "<u4")
         ends = np.cumsum(self.lengths[ids])
         wanted = np.cumsum([len(c.encode("utf-8")) for c in cuts])
         places = np.searchsorted(ends, wanted)
         if (ends[places] != wanted).any():
-            raise ValueError("ids run across a cut")
+            return
         raw, start = ids.tobytes(), 0
         for cut, end in zip(cuts, (places + 1).tolist(), strict=True):
             self.ids[cut] = raw[4 * start : 4 * end]

@@ -1,3 +1,4 @@
+import random
 import zlib
 from array import array
 from collections import defaultdict
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 
 from meterline.llm import packing, queries
 from meterline.llm.vocab import Encoder, public_path
+from tests.llm.conftest import DOCS
 
 FILES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 PARTS = st.sampled_from(
@@ -32,6 +34,40 @@ def test_cuts_give_the_tokenizers_ids(both, texts):
     assert own.encode(texts) == want
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_cuts_that_are_blank_or_end_blank(file):
+    path = public_path(file)
+    library = Tokenizer.from_file(path)
+    ends = ["", "\n", "\n\n", " ", "\n \n", "\t", "\x85", "a ", " a ", "\nb\n", " c\n\n"]
+    for one in ends:
+        texts = [one, *ends, *(a + "word" + b for a in ends for b in ends)]
+        want = [array("I", e.ids).tobytes()
+                for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert Encoder(path).encode(texts) == want
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_fresh_encoders_give_the_tokenizers_ids(file):
+    """Every cut of a batch is new, so that all are encoded in runs."""
+    path = public_path(file)
+    library, own = Tokenizer.from_file(path), Encoder(path)
+    rng = random.Random(8)
+    blanks, words = ["", "\n", "\n\n", " ", "  ", "\r\n"], ["one", "Two,", "3", "x.y", "é", "中"]
+    for _ in range(150):
+        own.ids.clear()
+        texts = ["".join([rng.choice(blanks), *(rng.choice(words) + rng.choice(blanks[1:])
+                 for _ in range(rng.randrange(6)))]) for _ in range(60)]
+        want = [array("I", e.ids).tobytes()
+                for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert own.encode(texts) == want
+
+
+def test_blank_documents_are_packed(spark):
+    docs = [(1, "\n"), (2, "\n\n"), (3, " "), (4, "\n \n"), (5, "\nend\n")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS).coalesce(1)
+    check(docs, packing.pack(df, with_ids=True).collect())
+
+
 @settings(max_examples=100, deadline=None)
 @given(texts=st.lists(st.text(max_size=60), min_size=1, max_size=5))
 def test_any_text_gives_the_tokenizers_ids(both, texts):
