@@ -17,6 +17,7 @@ from meterline.llm import (
     sharding,
     simhash,
     tokens,
+    tries,
     warc,
 )
 from meterline.llm.common import shared_folder
@@ -89,6 +90,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tries.paths_of(_table(spark, sf_dir, "conversations"))
+    return tries.prefix_trie(tries.with_family_heads(paths))
+
+
 def registered() -> dict[str, Query]:
     return {
         q.__name__: q
@@ -103,9 +109,10 @@ def registered() -> dict[str, Query]:
             op8_simhash,
             op9_html_text,
             op10_token_counts,
+            op11_conversation_trie,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_conversation_trie": tries.ORACLE_SQL}
