@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm import (
     extraction,
+    jaccard,
     mixing,
     neighbours,
     packing,
@@ -19,6 +20,7 @@ from meterline.llm import (
     tokens,
     tries,
     warc,
+    whitening,
 )
 from meterline.llm.common import shared_folder
 
@@ -95,6 +97,14 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.prefix_trie(tries.with_family_heads(paths))
 
 
+def op12_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     return {
         q.__name__: q
@@ -110,6 +120,8 @@ def registered() -> dict[str, Query]:
             op9_html_text,
             op10_token_counts,
             op11_conversation_trie,
+            op12_shingle_join,
+            op13_whitening,
         )
     }
 

@@ -1,0 +1,148 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from meterline.llm import jaccard, queries
+from tests.llm.conftest import DOCS, rows
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+COLUMNS = ("doc_id", "n_shingles", "component_id")
+
+
+def shingles(text, size=3):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lower)
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def brute(docs, percent=90):
+    """Every row with its component, by the overlap of all pairs that share a shingle."""
+    sets = [shingles(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    index = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            index.setdefault(x, []).append(i)
+    done = set()
+    for group in index.values():
+        for k, j in enumerate(group):
+            for i in group[:k]:
+                if (i, j) in done or find(i) == find(j):
+                    continue
+                done.add((i, j))
+                if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                    parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    found = [(d, len(sets[i]), least.get(find(i))) for i, (d, _) in enumerate(docs)]
+    return sorted(found, key=lambda t: [str(x) for x in t])
+
+
+def edited(rng, words, changes):
+    words = list(words)
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+    return words
+
+
+def frame(spark, docs, parts=4):
+    return spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS).repartition(parts)
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_on_given_documents(spark, sf):
+    path = f"/root/testdata/sf{sf}"
+    docs = [tuple(r) for r in spark.read.parquet(f"{path}/documents.parquet")
+            .select("doc_id", "text").collect()]
+    assert rows(queries.op12_shingle_join(spark, path), *COLUMNS) == brute(docs)
+
+
+@pytest.mark.parametrize("most", [jaccard.MOST, 40])
+def test_groups_of_copies_around_the_limit(spark, most):
+    """Copies with few edits each, most pairs of which are just above or below the limit."""
+    rng = random.Random(5)
+    docs = []
+    for base in range(6):
+        words = [f"b{base}x{j}" for j in range(rng.choice([60, 150, 400]))]
+        for _ in range(45):
+            docs.append(edited(rng, words, rng.randrange(len(words) // 30 + 2)))
+    # A passage that different documents share, and words so common that none are rare.
+    passage = [f"p{j}" for j in range(60)]
+    docs += [[f"own{i}x{j}" for j in range(70)] + passage for i in range(120)]
+    docs += [[f"c{rng.randrange(6)}" for _ in range(40)] for _ in range(60)]
+    rng.shuffle(docs)
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    found = jaccard.jaccard_components(frame(spark, docs), most=most)
+    assert rows(found, *COLUMNS) == brute(docs)
+
+
+def test_chain_whose_ends_differ(spark):
+    rng = random.Random(2)
+    words = [f"c{i}" for i in range(200)]
+    docs = []
+    for i in range(40):
+        docs.append((100 - i, " ".join(words)))
+        words = edited(rng, words, 1)
+    found = rows(jaccard.jaccard_components(frame(spark, docs)), *COLUMNS)
+    assert found == brute(docs) and {r[2] for r in found} == {61}
+
+
+def test_short_texts(spark):
+    words = [f"w{i}" for i in range(14)]
+    docs = [(10 * a + b, " ".join(words[a:b])) for a in range(4) for b in range(a + 1, 14)]
+    docs += [(900, "w0  W1"), (901, "w0\tw1\n"), (902, "w1 w0"), (903, ""), (904, None), (905, " \x0b ")]
+    assert rows(jaccard.jaccard_components(frame(spark, docs)), *COLUMNS) == brute(docs)
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    docs = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
+    clash = odd_docs.withColumns({"id": F.lit(1), "n": F.lit(2), "tree": F.lit("x")})
+    found = jaccard.jaccard_components(clash)
+    assert found.columns == list(COLUMNS)
+    assert rows(found, *COLUMNS) == brute(docs)
+    assert jaccard.jaccard_components(no_docs).count() == 0
+
+
+def test_many_rows_of_one_name(spark):
+    docs = [(1, "a b c d e")] * 30 + [(2, "a b c d e f")] * 30 + [(None, "a b c d e f g")]
+    found = jaccard.jaccard_components(frame(spark, docs), most=8)
+    assert rows(found, *COLUMNS) == brute(docs)
+
+
+def test_traversal_keeps_every_link():
+    """Against all pairs of rows, with and without labels."""
+    rng = np.random.default_rng(3)
+    for trial in range(30):
+        base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+        sets = []
+        for _ in range(rng.integers(2, 90)):
+            size = int(rng.integers(40, 260))
+            own = base[:size].copy()
+            change = rng.integers(0, size, rng.integers(0, 14))
+            own[change] = rng.integers(0, 1 << 63, len(change)).astype(np.uint64)
+            sets.append(np.unique(own))
+        data = [(bytes([i]) * 16, len(s), jaccard.bitmap(s), int(s.min() >> np.uint64(1)),
+                 int(i % 3) if trial % 2 else i) for i, s in enumerate(sets)]
+        found = set()
+        for own, tree in jaccard.trees_of(data, 90):
+            a, b = tree.pairs()
+            found |= {tuple(sorted((own[i][0][0], own[j][0][0]))) for i, j in zip(a, b)}
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                both = len(np.intersect1d(x, y))
+                linked = 190 * both >= 90 * (len(x) + len(y)) and data[i][4] != data[j][4]
+                assert not linked or (j, i) in found
