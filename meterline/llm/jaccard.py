@@ -1,8 +1,8 @@
 """Exact Jaccard self-join of documents' shingle sets by signature trees.
 
 Equal sets are one class. Of each class the rarest shingles are listed, so many that two linked
-sets share one at least; sets that list a shingle, and whose sizes are near enough, are the members
-of a tree. A tree's rows are bitmaps of whole sets, its nodes hold the bitmaps of those below OR-ed
+sets share three; sets that list a shingle, and whose sizes are near enough, are the members
+of a tree, unless they are few: then two must meet three times. A tree's rows are bitmaps of whole sets, its nodes hold the bitmaps of those below OR-ed
 together and their range of sizes, and a traversal of pairs of nodes leaves out those whose largest
 possible overlap is too small for a link. What passes is compared exactly.
 
@@ -13,7 +13,10 @@ between sets that are not connected yet.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -22,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import settle
+from meterline.llm.common import settle, slices
 from meterline.llm.components import components
+from meterline.llm.counts import Counter, buckets, summed
 from meterline.plans.sizing import broadcast_when_small
 
 SHINGLE, PERCENT = 3, 90
-# Counts that tell rare shingles from common ones; any order gives the same links.
-TABLE_BITS, SLICE = 18, 4096
+# Two linked sets list SHARED of the same shingles; in groups of up to FEW that is counted.
+SHARED, FEW = 3, 8
 # Rows of a tree; larger groups are dealt to several trees.
 MOST = 4096
 FAN_OUT = 4
@@ -40,16 +44,17 @@ _NAME = "doc_id <=> __doc AND __tag = __named"
 # --- sets ------------------------------------------------------------------------------------
 
 
-class _Hashes(dict):
-    """XXH64 of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256)
+_LOWER[65:91] += 32
+# Random values of bytes and an odd base: a word's hash is a polynomial of its bytes.
+_random = np.random.default_rng(20240307)
+_BYTES = _random.integers(0, 1 << 63, 256, np.uint64)[_LOWER] | np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+# Texts are hashed in pieces of this many bytes, cut at white space; longer words by XXH64.
+_PIECE, _LONG = 1 << 20, 200
+_GAP = re.compile(rb"[ \t-\r]")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -58,24 +63,79 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingle_set(text: str | None, known: dict[bytes, int], size: int = SHINGLE) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit hashes.
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    found = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(_PIECE + 1, base, np.uint64)
+        powers[0] = 1
+        found.append(np.multiply.accumulate(powers))
+    return found[0], found[1]
+
+
+def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the words of a piece; ASCII letters count as lower case."""
+    import xxhash
+
+    data = np.frombuffer(raw, np.uint8)
+    gap = np.ones(len(data) + 2, bool)
+    gap[1:-1] = _SPACE[data]
+    first, last = (np.flatnonzero(x) for x in (gap[:-1] & ~gap[1:], ~gap[:-1] & gap[1:]))
+    if len(data) > _PIECE:
+        # One word, without a gap to cut at.
+        return first, np.array([xxhash.xxh64_intdigest(raw.strip().lower())], np.uint64)
+    powers, back = _powers()
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * powers[: len(data)], out=sums[1:])
+    size = last - first
+    hashes = _mixed((sums[last] - sums[first]) * back[first] + size.astype(np.uint64))
+    for i in np.flatnonzero(size > _LONG).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(raw[first[i] : last[i]].lower())
+    return first, hashes
+
+
+def _pieces(raw: bytes) -> Iterator[tuple[int, bytes]]:
+    """Parts of at most ``_PIECE`` bytes, or one word each."""
+    at = 0
+    while len(raw) - at > _PIECE:
+        cut = max(raw.rfind(g, at, at + _PIECE) for g in (b" ", b"\n", b"\t", b"\x0b", b"\x0c", b"\r"))
+        if cut <= at:
+            found = _GAP.search(raw, at + 1)
+            cut = found.start() if found else len(raw)
+        yield at, raw[at:cut]
+        at = cut
+    yield at, raw[at:]
+
+
+def _shingles(h: np.ndarray, width: int) -> np.ndarray:
+    total = np.full(max(0, len(h) - width + 1), np.uint64(width))
+    for i in range(width):
+        total = (total ^ h[i : i + len(total)]) * np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(29)
+    return _mixed(total)
+
+
+def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
+    """The distinct shingles of each text as sorted 64-bit hashes.
 
     ASCII letters are lower-cased. With fewer words the whole sequence is the only shingle;
     without words there is none.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.array([known[w] for w in words], np.uint64)
-    width = min(size, len(words))
-    count = len(words) - width + 1
-    # A shingle of fewer words than usual is no prefix of another.
-    total = np.full(count, np.uint64(width))
-    for i in range(width):
-        total = (total ^ h[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
-        total ^= total >> np.uint64(29)
-    return np.unique(_mixed(total))
+    raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    starts = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    parts = [(at + first, h) for at, piece in _pieces(b"\n".join(raws))
+             for first, h in [_word_hashes(piece)]]
+    places, hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    bounds = np.searchsorted(places, starts).tolist()
+    whole = _shingles(hashes, size)
+    found = []
+    for a, b in itertools.pairwise(bounds):
+        if b - a >= size:
+            found.append(np.unique(whole[a : b - size + 1]))
+        else:
+            found.append(_shingles(hashes[a:b], b - a) if b > a else hashes[:0])
+    return found
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -83,24 +143,22 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", tag.alias("__tag"))
 
 
-def _slices(batch: pa.RecordBatch, size: int = 500) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(batch), size):
-        yield batch.slice(at, size)
+def _with_sets(batch: pa.RecordBatch, shingle: int):
+    """(rows of a batch, their sets), about a megabyte of text at a time."""
+    for at, texts in slices(batch.column("text")):
+        yield batch.slice(at, len(texts)), shingle_sets(texts, shingle)
 
 
 def _marks(batches, shingle: int) -> Iterator[pa.RecordBatch]:
     """A row per document, and at the end the task's counts of shingles, a row per slice."""
-    known = _Hashes()
-    table = np.zeros(1 << TABLE_BITS, np.int64)
+    counter = Counter()
     names = ["doc_id", "__tag", "id", "n", "slice", "counts"]
     kind = None
     for whole in batches:
         kind = whole.column("doc_id").type
-        for batch in _slices(whole):
-            sets = [shingle_set(t.as_py(), known, shingle) for t in batch.column("text")]
+        for batch, sets in _with_sets(whole, shingle):
             digests = [_digest(s) if len(s) else None for s in sets]
-            rows = np.concatenate(sets) >> np.uint64(64 - TABLE_BITS)
-            table += np.bincount(rows.astype(np.int64), minlength=len(table))
+            counter.add(np.concatenate(sets))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -112,9 +170,8 @@ def _marks(batches, shingle: int) -> Iterator[pa.RecordBatch]:
                 ],
                 names=names,
             )
-    if kind is not None and table.any():
-        parts = table.astype("<i8").reshape(-1, SLICE)
-        used = np.flatnonzero(parts.any(axis=1))
+    if kind is not None:
+        used, counts = counter.slices()
         yield pa.RecordBatch.from_arrays(
             [
                 pa.nulls(len(used), kind),
@@ -122,7 +179,7 @@ def _marks(batches, shingle: int) -> Iterator[pa.RecordBatch]:
                 pa.nulls(len(used), pa.binary()),
                 pa.nulls(len(used), pa.int64()),
                 pa.array(used, pa.int32()),
-                pa.array([parts[i].tobytes() for i in used], pa.binary()),
+                pa.array(counts, pa.binary()),
             ],
             names=names,
         )
@@ -132,52 +189,35 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def _added(batches) -> Iterator[pa.RecordBatch]:
-    """Counts of each slice, added up."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, raw in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
-            sums[i] = sums.get(i, 0) + np.frombuffer(raw.as_py(), "<i8")
-    if sums:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()])],
-            names=["slice", "counts"],
-        )
-
-
-def _table(marks: DataFrame) -> np.ndarray:
-    """How often shingles of each bucket occur: 2**18 numbers, whatever the corpus."""
-    counts = marks.where("slice IS NOT NULL").select("slice", "counts").repartition("slice")
-    table = np.zeros(1 << TABLE_BITS, np.int64)
-    for i, raw in counts.mapInArrow(_added, "slice int, counts binary").collect():
-        table[i * SLICE : (i + 1) * SLICE] += np.frombuffer(raw, "<i8")
-    return table
-
-
 def bitmap(values: np.ndarray) -> bytes:
-    """A set's signature: a bit for each shingle, eight bits at least for every shingle."""
-    width = max(64, 1 << (8 * len(values) - 1).bit_length())
+    """A set's signature: a bit for each shingle, four bits at least for every shingle."""
+    width = max(64, 1 << (4 * len(values) - 1).bit_length())
     bits = np.zeros(width, bool)
     bits[(values & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
 def rarest(values: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
-    """So many of the rarest shingles that two sets with enough in common share one of them."""
+    """So many of the rarest shingles that two linked sets share ``shared_by`` of them.
+
+    They have ``percent * n / 100`` in common at least.
+    """
     n = len(values)
-    listed = n - -(-percent * n // 100) + 1
-    counts = table[(values >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
-    return values[np.lexsort((values, counts))[:listed]]
+    listed = n - -(-percent * n // 100) + shared_by(percent)
+    return values[np.lexsort((values, table[buckets(values)]))[:listed]]
+
+
+def shared_by(percent: int) -> int:
+    """Sets that are linked and differ have ``percent`` in common for each ``100 - percent``."""
+    return max(1, min(SHARED, percent // max(1, 100 - percent)))
 
 
 def _signed(batches, table: np.ndarray, shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Each class's size, signature, place in the tree and rarest shingles."""
-    known = _Hashes()
     for whole in batches:
-        for batch in _slices(whole):
+        for _, sets in _with_sets(whole, shingle):
             out: list[tuple] = []
-            for text in batch.column("text"):
-                values = shingle_set(text.as_py(), known, shingle)
+            for values in sets:
                 near = int(_mixed(values ^ np.uint64(0x5851F42D4C957F2D)).min() >> np.uint64(1))
                 listed = rarest(values, table, percent).view(np.int64).tolist()
                 out.append((_digest(values), len(values), bitmap(values), near, listed))
@@ -195,10 +235,8 @@ def _signed(batches, table: np.ndarray, shingle: int, percent: int) -> Iterator[
 
 
 def _whole(batches, shingle: int) -> Iterator[pa.RecordBatch]:
-    known = _Hashes()
     for whole in batches:
-        for batch in _slices(whole, 100):
-            sets = [shingle_set(t.as_py(), known, shingle) for t in batch.column("text")]
+        for _, sets in _with_sets(whole, shingle):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_digest(s) for s in sets], pa.binary()),
@@ -259,6 +297,16 @@ def _groups(batches, percent: int, most: int) -> Iterator[pa.RecordBatch]:
         yield from _emitted([held[2].tobytes()], [], names)
 
 
+def _all_pairs(batches) -> Iterator[pa.RecordBatch]:
+    """The pairs of members of groups of up to ``FEW``, as two ids in one value."""
+    for batch in batches:
+        pairs = []
+        for members in batch.column("members").to_pylist():
+            ids = sorted({members[i : i + 16] for i in range(0, len(members), 16)})
+            pairs += [a + b for a, b in itertools.combinations(ids, 2)]
+        yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.binary())], names=["tree"])
+
+
 def _complete(bounds: list[int]) -> Iterator[tuple[int, int]]:
     """All runs of two rows or more but the last one, and the first one whatever its length."""
     ends = np.array(bounds)
@@ -297,8 +345,13 @@ def _trees(signed: DataFrame, percent: int, most: int) -> DataFrame:
             "members binary, shingle long, first long, id binary",
         )
     )
-    # Near copies list the same shingles, so most groups occur many times.
-    small = runs.where("members IS NOT NULL").select("members").distinct()
+    lists = runs.where("members IS NOT NULL").select("members")
+    # Sets that share a few rare shingles by chance meet in few groups, and nowhere else.
+    few = F.length("members") <= 16 * FEW
+    met = lists.where(few).mapInArrow(_all_pairs, "tree binary").groupBy("tree").count()
+    pairs = met.where(F.col("count") >= shared_by(percent)).select(F.col("tree").alias("members"))
+    # Near copies list the same shingles, so many of the other groups are equal.
+    small = pairs.unionByName(lists.where(~few).distinct())
     each = F.expr(
         """explode(transform(sequence(0, length(members) DIV 16 - 1),
                              i -> substring(members, 16 * i + 1, 16)))"""
@@ -507,7 +560,7 @@ def links(
     docs: DataFrame, marks: DataFrame, shingle: int, percent: int, most: int
 ) -> DataFrame:
     """Links (a, b) between classes that connect all that are linked at all."""
-    table = _table(marks)
+    table = summed(marks.where("slice IS NOT NULL"))
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("d"), F.col("__tag").alias("t"))
     names = (
         marks.where("id IS NOT NULL").groupBy("id").agg(F.min(first).alias("f"))
@@ -524,7 +577,10 @@ def links(
         # Rows equal in doc_id and text share a name.
         signed = settle(signed.dropDuplicates(["id"]))
     trees = _trees(signed, percent, most)
-    rows = settle(trees.join(signed.select("id", "n", "bits", "near"), "id"))
+    trees = settle(trees)
+    wanted = broadcast_when_small(settle(trees.select("id").distinct()))
+    signatures = signed.select("id", "n", "bits", "near").join(wanted, "id", "left_semi")
+    rows = settle(trees.join(signatures, "id"))
     apart = F.xxhash64("id").alias("label")
     star = settle(_pairs(rows.select("*", apart), percent, star=True).distinct())
     known = _verified(star, texts, shingle, percent)

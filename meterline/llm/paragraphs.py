@@ -17,8 +17,10 @@ such run holds at least one; only runs around a window that occurs again are com
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 from meterline.llm.common import SPACES, settle
 from meterline.llm.components import components
+from meterline.llm.counts import Counter, buckets, summed
 from meterline.plans.sizing import broadcast_when_small
 
 MIN_WORDS = 40
@@ -202,9 +205,9 @@ def similar_pairs(
     ``distinct`` has their ``digest`` and ``bands``; ``lines`` has ``digest`` and ``line`` of all
     paragraphs, of which only those that share a band are kept. Everything in a band is compared
     with the band's centre, the paragraph whose bands are the fullest; what is not similar to it,
-    with everything in the band. Two paragraphs both similar to the centre are connected through
-    it, so no link between components is lost, and a large cluster costs one comparison per
-    paragraph instead of one per pair. Without ``edits`` Jaccard similarity alone counts.
+    with what lists one of its rarest shingles or words too (``_left_pairs``). Two paragraphs both
+    similar to the centre are connected through it, so no link between components is lost, and a
+    large cluster costs one comparison per paragraph instead of one per pair. Without ``edits`` Jaccard similarity alone counts.
     """
     bands = distinct.select("digest", F.explode("bands").alias("band"))
     shared = settle(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
@@ -224,16 +227,119 @@ def similar_pairs(
     first = settle(_verified(pairs, sets, edits))
     linked = first.where(F.col("similarity") >= similar).select("a", "b")
     known = linked.select(F.col("a").alias("centre"), F.col("b").alias("digest"))
-    apart = near.join(known, ["centre", "digest"], "left_anti").select(
-        "band", F.col("digest").alias("a")
+    apart = settle(near.join(known, ["centre", "digest"], "left_anti").select("band", "digest"))
+    second = settle(_left_pairs(members, apart, sets, linked, similar, edits))
+    rest = second.join(first.select("a", "b"), ["a", "b"], "left_anti")
+    second = _verified(rest, sets, edits).where(F.col("similarity") >= similar)
+    return linked.unionByName(second.select("a", "b"))
+
+
+def _left_pairs(
+    members: DataFrame,
+    apart: DataFrame,
+    sets: DataFrame,
+    linked: DataFrame,
+    similar: float,
+    edits: bool,
+) -> DataFrame:
+    """(a, b): candidates among paragraphs that a band's centre has not connected.
+
+    Different paragraphs that share filler collide in great numbers. So each lists its rarest
+    shingles, as many as two similar ones must share one of; filler, which is common, is not among
+    them. Edits are words, so for these it lists its rarest words, numbered by occurrence. Only
+    what lists the same and is not connected yet is paired.
+    """
+    wanted = members.join(broadcast_when_small(settle(apart.select("band").distinct())), "band")
+    wanted = settle(wanted.select("digest").distinct())
+    lines = sets.join(broadcast_when_small(wanted), "digest", "left_semi")
+    counts = lines.select("line").mapInArrow(
+        partial(_token_counts, edits=edits), "slice int, counts binary"
+    )
+    listed = lines.select("digest", "line").mapInArrow(
+        partial(_rarest, table=summed(counts), similar=similar, edits=edits),
+        "digest binary, n int, token long",
     )
-    pairs = (
-        apart.join(members.select("band", F.col("digest").alias("b")), "band")
-        .where("a <> b")
+    label = F.coalesce("root", "digest").alias("label")
+    roots = components(linked).select(F.col("node").alias("digest"), "root")
+    rows = listed.join(broadcast_when_small(settle(roots)), "digest", "left").select(
+        "digest", "n", "token", label
+    )
+    alone = apart.select("digest").distinct().withColumn("apart", F.lit(True))
+    rows = settle(rows.join(broadcast_when_small(settle(alone)), "digest", "left"))
+    # A token that only one component lists joins nothing.
+    mixed = (
+        rows.groupBy("token")
+        .agg(F.min("label").alias("l"), F.max("label").alias("m"), F.max("apart").alias("any"))
+        .where("l <> m AND any")
+        .select("token")
+    )
+    rows = settle(rows.join(mixed, "token"))
+    one = rows.where("apart").select(
+        "token", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")
+    )
+    other = rows.select(
+        "token", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb")
+    )
+    near = (F.col("na") >= similar * F.col("nb")) & (F.col("nb") >= similar * F.col("na"))
+    return (
+        one.join(other, "token")
+        .where((F.col("la") != F.col("lb")) & near)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
-    second = _verified(pairs, sets, edits).where(F.col("similarity") >= similar)
-    return linked.unionByName(second.select("a", "b"))
+
+
+def _tokens(line: bytes, edits: bool) -> list[np.ndarray]:
+    """Hashes of a paragraph's shingles and, for edits, of its words numbered by occurrence."""
+    import xxhash
+
+    words = line.split(b" ")
+    found = [np.unique(shingle_hashes(words))]
+    if edits:
+        seen: dict[bytes, int] = {}
+        hashes = []
+        for word in words:
+            seen[word] = seen.get(word, 0) + 1
+            hashes.append(xxhash.xxh64_intdigest(word, seen[word]))
+        found.append(np.array(hashes, np.uint64))
+    return found
+
+
+def _token_counts(batches, edits: bool) -> Iterator[pa.RecordBatch]:
+    counter = Counter()
+    for batch in batches:
+        for line in batch.column("line"):
+            for hashes in _tokens(line.as_py(), edits):
+                counter.add(hashes)
+    numbers, counts = counter.slices()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int32()), pa.array(counts, pa.binary())], names=["slice", "counts"]
+    )
+
+
+def _rarest(batches, table: np.ndarray, similar: float, edits: bool) -> Iterator[pa.RecordBatch]:
+    """(digest, n, token): of each list of n hashes the rarest that two similar ones must share."""
+    for batch in batches:
+        for at in range(0, len(batch), 500):
+            rows, sizes, tokens = [], [], []
+            for i, line in enumerate(batch.column("line").slice(at, 500)):
+                for kind, hashes in enumerate(_tokens(line.as_py(), edits)):
+                    n = len(hashes)
+                    take = n - math.ceil(similar * n - 1e-9) + 1
+                    rare = hashes[np.lexsort((hashes, table[buckets(hashes)]))[:take]]
+                    rows += [at + i] * len(rare)
+                    sizes += [n] * len(rare)
+                    # Shingles and words must not meet.
+                    tokens.append((rare ^ np.uint64(kind * 0x9E3779B97F4A7C15)).view(np.int64))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("digest").take(pa.array(rows)),
+                        pa.array(sizes, pa.int32()),
+                        pa.array(np.concatenate(tokens)),
+                    ],
+                    names=["digest", "n", "token"],
+                )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, edits: bool) -> DataFrame:

@@ -123,6 +123,25 @@ def test_many_rows_of_one_name(spark):
     assert rows(found, *COLUMNS) == brute(docs)
 
 
+def test_shingles_in_pieces(monkeypatch):
+    rng = random.Random(9)
+    words = ["a", "B", "é中", "x" * 250, "Y" * 250, "long" * 700, "ß", "b" * 199, "\x85", "q"]
+    texts = ["", None, " ", "one", "one Two", "x" * 3000] + [
+        "".join(rng.choice(words) + rng.choice([" ", "\n", "\t ", "\x0b\r"]) for _ in range(60))
+        for _ in range(30)]
+    whole = jaccard.shingle_sets(texts)
+    monkeypatch.setattr(jaccard, "_PIECE", 1000)
+    jaccard._powers.cache_clear()
+    parts = jaccard.shingle_sets(texts)
+    jaccard._powers.cache_clear()
+    for text, a, b in zip(texts, whole, parts, strict=True):
+        assert len(a) == len(shingles(text))
+        # Words of more than a piece are hashed in another way, the same one in every text.
+        if "long" not in (text or "") and len(text or "") < 3000:
+            assert a.tolist() == b.tolist()
+    assert [len(a) for a in whole] == [len(b) for b in parts]
+
+
 def test_traversal_keeps_every_link():
     """Against all pairs of rows, with and without labels."""
     rng = np.random.default_rng(3)

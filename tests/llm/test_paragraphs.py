@@ -143,6 +143,59 @@ def test_copies_with_two_typos_each_are_one_cluster(spark):
     assert len({r["cluster"] for r in found}) == 1 and len(found) == 60
 
 
+def test_filler_and_clusters_in_one_band(spark):
+    """Paragraphs that share filler collide in bands without being similar; clusters of copies,
+    chains and edited copies lie among them."""
+    rng = random.Random(12)
+    filler = [f"f{j}" for j in range(60)]
+    docs = []
+    for i in range(150):
+        docs.append(filler + [f"own{i}x{j}" for j in range(40)])
+    for c in range(6):
+        words = filler + [f"k{c}x{j}" for j in range(40)]
+        for _ in range(12):
+            docs.append(near(rng, words, rng.randrange(5)))
+    rng.shuffle(docs)
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS).repartition(4)
+    found = paragraphs.repeated_paragraphs(df).where(f"n_words <> {paragraphs.PASSAGE}")
+    got = {(r["doc_id"], r["removed"]) for r in found.collect() if r["n_words"] == 100}
+    assert got == {(d, gone) for d, _, gone in brute(docs)}
+
+
+def test_listed_tokens_hold_every_similar_pair():
+    """Against all pairs, with bands left aside: what is similar lists a token in common."""
+    rng = random.Random(13)
+    filler = [b"f%d" % (j % 17) for j in range(30)]
+    lines = []
+    for c in range(12):
+        words = filler + [b"c%dx%d" % (c, j) for j in range(rng.randrange(15, 120))]
+        lines += [[w.encode() if isinstance(w, str) else w for w in near(rng, words, rng.randrange(9))]
+                  for _ in range(8)]
+    counter = paragraphs.Counter()
+    for words in lines:
+        for hashes in paragraphs._tokens(b" ".join(words), True):
+            counter.add(hashes)
+    import pyarrow as pa
+
+    joined = [b" ".join(w) for w in lines]
+    batch = pa.RecordBatch.from_pydict(
+        {"digest": pa.array([str(i).encode() for i in range(len(lines))], pa.binary()),
+         "line": pa.array(joined, pa.binary())})
+    listed = [set() for _ in lines]
+    for out in paragraphs._rarest([batch], counter.table, 0.8, True):
+        for row in out.to_pylist():
+            listed[int(row["digest"])].add(row["token"])
+    pairs = 0
+    for i in range(len(lines)):
+        for j in range(i):
+            of = [paragraphs.shingles_of(joined[k]) for k in (i, j)]
+            if paragraphs.similarity(joined[i], joined[j], *of) >= 0.8:
+                pairs += 1
+                assert listed[i] & listed[j]
+    assert pairs > 200
+
+
 def cut_brute(docs, size=50):
     """Words of each text outside the windows that occur earlier, by looking at all windows."""
     seen, left = {}, {}
