@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from meterline.operators import joins, state, stateless, windows
 from meterline.session import get_session
 from meterline.sources import views
-from meterline.streaming import processors
+from meterline.streaming import keyed
 
 
 def split_by_time(df: DataFrame, time_col: str, path: str, files: int) -> None:
@@ -30,6 +30,10 @@ def open_stream(spark: SparkSession, df: DataFrame, path: str, time_col: str) ->
     return reader.parquet(path).withWatermark(time_col, "5 seconds")
 
 
+def to_noop(rows: DataFrame, batch_id: int) -> None:
+    rows.write.format("noop").mode("overwrite").save()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -74,16 +78,24 @@ def main() -> None:
         "cumulative_counter": ("update", lambda: state.cumulative_counter(source("rides"))),
         "trip_join": ("append", lambda: joins.trip_join(source("pickups"), source("dropoffs"))),
         "nearby_rides": ("append", lambda: joins.nearby_rides(source("rides"), source("rides"))),
-        "driver_join": ("append", lambda: processors.join_drivers(
-            source("rides"), source("drivers"))),
-        "change_detection": ("append", lambda: processors.detect_changes(
-            source("rides"), "driver_id", "PULocationID")),
+        "driver_join": (
+            "append",
+            lambda: keyed.with_drivers(source("rides"), source("drivers")),
+            keyed.DriverJoin(f"{base}/state/driver_join", to_noop, cell="1 hour"),
+        ),
+        "change_detection": (
+            "append",
+            lambda: source("rides"),
+            keyed.Changes(f"{base}/state/changes", to_noop, "driver_id", "PULocationID", "1 hour"),
+        ),
     }
     results = {}
-    for name, (mode, make) in streams.items():
+    for name, (mode, make, *batch_writer) in streams.items():
         start = time.perf_counter()
+        writer = make().writeStream.outputMode(mode)
+        writer = writer.foreachBatch(batch_writer[0]) if batch_writer else writer.format("noop")
         query = (
-            make().writeStream.format("noop").outputMode(mode)
+            writer
             .option("checkpointLocation", f"{base}/checkpoints/{name}")
             .trigger(availableNow=True).start()
         )

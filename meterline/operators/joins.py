@@ -258,13 +258,32 @@ def trip_outcomes(pickups: DataFrame, dropoffs: DataFrame, within: str = "30 min
     return per_trip.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("trips"))
 
 
-def with_outcome(joined: DataFrame) -> DataFrame:
-    """C8 on a stream: rows of the left outer ``trip_join``, told apart for ``batch_counts``.
+def trip_ends(pickups: DataFrame, dropoffs: DataFrame, wide: str = "1 day") -> DataFrame:
+    """C8 on a stream: each pickup with its dropoff at most ``wide`` away, before or after it.
 
-    What has expired there counts as unmatched: its dropoff is not kept long enough to be seen.
+    Wider than a trip may last, so that a dropoff that comes too late is seen too; a pickup without
+    one is emitted once the watermark has passed its bound. A trip has one dropoff.
     """
-    found = F.col("dropoff_time").isNotNull()
-    return joined.withColumn("outcome", F.when(found, "matched").otherwise("unmatched"))
+    d = dropoffs.select(F.col("trip_id").alias("_d_trip"), "dropoff_time")
+    match = (
+        (F.col("trip_id") == F.col("_d_trip"))
+        & (F.col("dropoff_time") >= F.col("pickup_time") - interval(wide))
+        & (F.col("dropoff_time") <= F.col("pickup_time") + interval(wide))
+    )
+    return pickups.join(d, match, "left_outer").select("trip_id", "pickup_time", "dropoff_time")
+
+
+def with_outcome(ends: DataFrame, within: str = "30 minutes") -> DataFrame:
+    """C8 on a stream: rows of ``trip_ends`` told apart, for ``batch_counts``."""
+    in_time = (F.col("dropoff_time") >= F.col("pickup_time")) & (
+        F.col("dropoff_time") <= F.col("pickup_time") + interval(within)
+    )
+    outcome = (
+        F.when(F.col("dropoff_time").isNull(), "unmatched")
+        .when(in_time, "matched")
+        .otherwise("expired")
+    )
+    return ends.withColumn("outcome", outcome)
 
 
 def nearby_rides(

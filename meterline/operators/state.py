@@ -1,7 +1,7 @@
 """Aggregates and per-key patterns that never reset.
 
 The aggregates run on tables and, in update mode, on streams. The per-row patterns here are the
-table form; their stream form is in ``meterline.streaming.processors``.
+table form; their stream form is in ``meterline.streaming.keyed``.
 """
 
 from __future__ import annotations

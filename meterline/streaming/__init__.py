@@ -1 +1 @@
-"""Structured Streaming parts: stateful processors, late routing, sinks, job sets."""
+"""Structured Streaming parts: per-key patterns, late routing, sinks, job sets."""

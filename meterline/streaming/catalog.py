@@ -17,7 +17,7 @@ from meterline.operators import joins, state, stateless, windows
 from meterline.plans import dashboard
 from meterline.sources import jdbc, topics
 from meterline.sources.specs import DRIVERS, DROPOFFS, PICKUPS, RESULTS, RIDES, ZONES, TableSpec
-from meterline.streaming import jobs, processors, sinks
+from meterline.streaming import jobs, keyed, sinks
 from meterline.streaming.carried import Carried
 from meterline.streaming.enrich import BroadcastEnricher, tagged
 from meterline.streaming.jobs import Output
@@ -153,11 +153,25 @@ def _nearby_rides(places: Places) -> list[Output]:
     return [Output("nearby_rides", joins.nearby_rides(first, second), places.sink("nearby_rides"))]
 
 
-def _driver_rides(places: Places) -> list[Output]:
-    rides = places.open(RIDES, topics.EARLIEST, watermark=False)
-    drivers = places.open(DRIVERS, topics.EARLIEST, position=True)
-    rows = processors.join_drivers(rides, drivers, driver_time="timestamp")
-    return [Output("driver_rides", rows, places.sink("driver_rides"))]
+def _drivers_by(name: str, policy: str) -> Job:
+    def job(places: Places) -> list[Output]:
+        rides = places.open(RIDES, topics.EARLIEST, watermark=False)
+        drivers = places.open(DRIVERS, topics.EARLIEST, position=True)
+        join = keyed.DriverJoin(f"{places.state}/{name}", places.sink(name), policy)
+        return [Output(name, keyed.with_drivers(rides, drivers, "timestamp"), join)]
+
+    return job
+
+
+def _keyed(name: str, pattern: Callable[..., BatchWriter], *args) -> Job:
+    """A per-key pattern over the rides; its table lies in the state folder."""
+
+    def job(places: Places) -> list[Output]:
+        rides = places.open(RIDES, topics.EARLIEST, watermark=False)
+        write = pattern(f"{places.state}/{name}", places.sink(name), *args)
+        return [Output(name, rides, write)]
+
+    return job
 
 
 def _zone_rides(places: Places) -> list[Output]:
@@ -236,25 +250,10 @@ def _summed(key: str, *values: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.groupBy(key).agg(*(F.sum(v).alias(v) for v in values))
 
 
-def _drivers_by(policy: str) -> Job:
-    def job(places: Places) -> list[Output]:
-        timed = policy == processors.DROP_IF_OLD
-        rides = places.open(RIDES, topics.EARLIEST, watermark=timed)
-        drivers = places.open(DRIVERS, topics.EARLIEST, position=True)
-        if timed:
-            drivers = drivers.withWatermark("timestamp", RIDES.delay)
-        rows = processors.join_drivers(rides, drivers, policy, driver_time="timestamp")
-        name = f"driver_rides_{policy}"
-        return [Output(name, rows, places.sink(name))]
-
-    return job
-
-
 def _trip_outcomes(places: Places) -> list[Output]:
-    """Trips by outcome, counted per batch."""
-    joined = joins.trip_join(
-        places.open(PICKUPS, topics.EARLIEST), places.open(DROPOFFS, topics.EARLIEST),
-        how="left_outer",
+    """Trips by outcome, counted per batch. A trip is waited for as long as a day."""
+    joined = joins.trip_ends(
+        places.open(PICKUPS, topics.EARLIEST), places.open(DROPOFFS, topics.EARLIEST), "1 day"
     )
     counts = sinks.batch_counts(f"{places.out}/trip_outcomes", ["outcome"])
     return [Output("trip_outcomes", joins.with_outcome(joined), counts)]
@@ -285,33 +284,25 @@ JOBS: dict[str, Job] = {
     "enriched_rides": _enriched_rides,
     "completed_trips": _completed_trips,
     "nearby_rides": _nearby_rides,
-    "driver_rides": _driver_rides,
+    "driver_rides": _drivers_by("driver_rides", keyed.BUFFER),
     "zone_rides": _zone_rides,
     "dashboard": _dashboard,
     "dashboard_named": _dashboard_named,
     "dashboard_trips": _dashboard_trips,
     "dashboard_late_events": _dashboard_late_events,
-    "driver_rides_emit_partial": _drivers_by(processors.EMIT_PARTIAL),
-    "driver_rides_drop_if_old": _drivers_by(processors.DROP_IF_OLD),
+    "driver_rides_emit_partial": _drivers_by("driver_rides_emit_partial", keyed.EMIT_PARTIAL),
+    "driver_rides_drop_if_old": _drivers_by("driver_rides_drop_if_old", keyed.DROP_IF_OLD),
     "trip_outcomes": _trip_outcomes,
     "unique_rides": _of_rides(
         "unique_rides",
         lambda r: state.dedup(r, ["driver_id", "tpep_pickup_datetime"], ["event_time"]),
         topics.EARLIEST,
     ),
-    "last_rides": _of_rides(
-        "last_rides",
-        lambda r: processors.last_n(r, "PULocationID", ["event_time", "total_amount"]),
-        topics.EARLIEST, "update",
+    "last_rides": _keyed(
+        "last_rides", keyed.LastN, "PULocationID", ["event_time", "total_amount"]
     ),
     "first_seen": _of_rides("first_seen", state.first_seen, topics.EARLIEST, "update"),
-    "fare_changes": _of_rides(
-        "fare_changes",
-        lambda r: processors.detect_changes(r, "PULocationID", "total_amount"),
-        topics.EARLIEST,
-    ),
-    "ride_verdicts": _of_rides("ride_verdicts", processors.rate_verdicts, topics.EARLIEST),
-    "expiring_counts": _of_rides(
-        "expiring_counts", processors.expiring_count, topics.EARLIEST, "update"
-    ),
+    "fare_changes": _keyed("fare_changes", keyed.Changes, "PULocationID", "total_amount"),
+    "ride_verdicts": _keyed("ride_verdicts", keyed.Verdicts),
+    "expiring_counts": _keyed("expiring_counts", keyed.ExpiringCount),
 }

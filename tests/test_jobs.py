@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline import submit
-from meterline.operators import late, state, windows
+from meterline.operators import joins, late, state, windows
 from meterline.plans import dashboard
 from meterline.sources import topics
-from meterline.sources.specs import RESULTS, RIDES, to_sink_types
+from meterline.sources.specs import DROPOFFS, PICKUPS, RESULTS, RIDES, to_sink_types
 from meterline.streaming import jobs
 from meterline.streaming.catalog import JOBS, Places
 from meterline.streaming.late import LateRouter
@@ -52,14 +52,13 @@ EXPECTED = {
     "nearby_rides": ("nearby_rides", 300, "time_diff_seconds BETWEEN 1 AND 300"),
     "driver_rides": ("driver_rides", 31, "driver_name = 'Ann'"),
     "zone_rides": ("zone_rides", 31, "pickup_zone IN ('A', 'Unknown')"),
+    "driver_rides_drop_if_old": ("driver_rides_drop_if_old", 31, "driver_name = 'Ann'"),
+    "ride_verdicts": ("ride_verdicts", 30, "verdict = IF(nth_in_window > 20, 'throttle', 'allow')"),
+    "unique_rides": ("unique_rides", 30, "total_amount > 0"),
 }
 
 
-# Works by the clock too, so it ends only when stopped; tests/test_processors.py covers it.
-ENDLESS = {"expiring_counts"}
-
-
-@pytest.mark.parametrize("job", sorted(set(JOBS) - ENDLESS))
+@pytest.mark.parametrize("job", sorted(JOBS))
 def test_job(spark, tmp_path, folder, job):
     zones = spark.createDataFrame([(1, "A")], "zone_id INT, zone_name STRING")
     places = Places(
@@ -73,6 +72,10 @@ def test_job(spark, tmp_path, folder, job):
         assert table_of(spark, tmp_path, "dashboard_avg_duration") == [(1, 2, 85.0)]
     if job == "dashboard_late_events":
         assert table_of(spark, tmp_path, "dashboard_late_events") == [("late_events", 1)]
+    if job == "trip_outcomes":
+        counts = spark.read.parquet(f"{tmp_path}/out/trip_outcomes").groupBy("outcome")
+        trips = [spark.read.schema(t.schema).json(f"{folder}/{t.name}") for t in (PICKUPS, DROPOFFS)]
+        assert rows_of(counts.agg(F.sum("rows"))) == rows_of(joins.trip_outcomes(*trips))
     for name in results:
         assert spark.read.parquet(f"{tmp_path}/out/{name}").count() > 0
     if job in EXPECTED:

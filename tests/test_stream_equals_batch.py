@@ -6,7 +6,7 @@ from meterline.operators import joins, state, stateless, windows
 from meterline.plans import dashboard
 from meterline.sources.specs import DROPOFFS, PICKUPS, RIDES, to_sink_types
 from meterline.sources.topics import read_files, well_formed
-from meterline.streaming import jobs, processors
+from meterline.streaming import jobs, keyed
 from meterline.streaming.sinks import changelog, current_rows, read_changelog, to_memory
 from tests.streams import at, ride, rows_of, run, write_batches
 
@@ -210,14 +210,18 @@ def test_top_zones_of_a_stream(spark, tmp_path):
 
 
 def test_chained_enrichment(spark, tmp_path):
-    """A stateful join, then two lookups, in one query."""
+    """A join with what earlier batches left, then two lookups, in one query."""
     rides = stream(spark, tmp_path, BATCHES)
     updates = spark.readStream.schema("driver_id INT, name STRING, rating DOUBLE, t TIMESTAMP")
     drivers = updates.json(write_batches(tmp_path / "drivers", [
         {"driver_id": 1, "name": "Ann", "rating": 4.9, "t": at(10).isoformat()}]))
     zones = spark.createDataFrame([(1, "A")], "zone_id INT, zone_name STRING")
-    joined = processors.join_drivers(rides, drivers, driver_time="t")
-    got = streamed(spark, tmp_path, joins.broadcast_enrich(joined, zones), "append")
+    sink = changelog(str(tmp_path / "out"))
+    write = keyed.DriverJoin(
+        str(tmp_path / "state"), lambda rows, n: sink(joins.broadcast_enrich(rows, zones), n))
+    both = keyed.with_drivers(rides, drivers, "t")
+    run(both.writeStream.foreachBatch(write), tmp_path / "cp")
+    got = spark.read.parquet(str(tmp_path / "out"))
     assert rows_of(got, "total_amount", "pickup_zone", "dropoff_zone", "driver_name") == [
         (8.0, "A", "Unknown", "Ann"), (11.0, "Unknown", "Unknown", "Ann"),
         (12.0, "Unknown", "Unknown", "Ann"), (21.0, "A", "Unknown", "Ann"),
