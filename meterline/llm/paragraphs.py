@@ -228,13 +228,14 @@ def similar_pairs(
     linked = first.where(F.col("similarity") >= similar).select("a", "b")
     known = linked.select(F.col("a").alias("centre"), F.col("b").alias("digest"))
     apart = settle(near.join(known, ["centre", "digest"], "left_anti").select("band", "digest"))
-    second = settle(_left_pairs(members, apart, sets, linked, similar, edits))
+    second = settle(_left_pairs(distinct, members, apart, sets, linked, similar, edits))
     rest = second.join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = _verified(rest, sets, edits).where(F.col("similarity") >= similar)
     return linked.unionByName(second.select("a", "b"))
 
 
 def _left_pairs(
+    distinct: DataFrame,
     members: DataFrame,
     apart: DataFrame,
     sets: DataFrame,
@@ -247,7 +248,7 @@ def _left_pairs(
     Different paragraphs that share filler collide in great numbers. So each lists its rarest
     shingles, as many as two similar ones must share one of; filler, which is common, is not among
     them. Edits are words, so for these it lists its rarest words, numbered by occurrence. Only
-    what lists the same and is not connected yet is paired.
+    what lists the same, shares a band and is not connected yet is paired.
     """
     wanted = members.join(broadcast_when_small(settle(apart.select("band").distinct())), "band")
     wanted = settle(wanted.select("digest").distinct())
@@ -273,14 +274,23 @@ def _left_pairs(
         .where("l <> m AND any")
         .select("token")
     )
-    rows = settle(rows.join(mixed, "token"))
+    rows = rows.join(mixed, "token").join(distinct.select("digest", "bands"), "digest")
+    rows = settle(rows)
     one = rows.where("apart").select(
-        "token", F.col("digest").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")
+        "token",
+        F.col("digest").alias("a"),
+        F.col("n").alias("na"),
+        F.col("label").alias("la"),
+        F.col("bands").alias("ba"),
     )
     other = rows.select(
-        "token", F.col("digest").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb")
+        "token",
+        F.col("digest").alias("b"),
+        F.col("n").alias("nb"),
+        F.col("label").alias("lb"),
+        F.col("bands").alias("bb"),
     )
-    near = (F.col("na") >= similar * F.col("nb")) & (F.col("nb") >= similar * F.col("na"))
+    near = F.arrays_overlap("ba", "bb") & (F.col("na") >= similar * F.col("nb")) & (F.col("nb") >= similar * F.col("na"))
     return (
         one.join(other, "token")
         .where((F.col("la") != F.col("lb")) & near)
