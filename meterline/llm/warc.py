@@ -159,7 +159,12 @@ def read_headers(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield _header_batch(rows)
 
-    return manifest.select("path").repartition("path").mapInArrow(run, _HEADERS)
+    # By range, so that every archive is a task of its own; a stated count is never folded.
+    return (
+        manifest.select("path")
+        .repartitionByRange(max(1, manifest.count()), "path")
+        .mapInArrow(run, _HEADERS)
+    )
 
 
 def _header_row(path, offset, headers, block):
@@ -221,10 +226,11 @@ def resolve(headers: DataFrame, least_bytes: int = 0) -> DataFrame:
     )
 
 
-def write_deduplicated(resolved: DataFrame, folder: str) -> DataFrame:
+def write_deduplicated(resolved: DataFrame, folder: str, archives: int) -> DataFrame:
     """Write the archives anew with fresh headers; the manifest of the new files.
 
-    An old archive is read once, in order, by the task that holds its records' decisions.
+    An old archive is read once, in order, by the task that holds its records' decisions. There
+    are as many tasks as ``archives``, which adaptive execution does not fold.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +260,7 @@ def write_deduplicated(resolved: DataFrame, folder: str) -> DataFrame:
     ]
     return (
         resolved.select(*columns)
-        .repartition("path")
+        .repartition(max(1, archives), "path")
         .sortWithinPartitions("path", "offset")
         .mapInArrow(run, _MANIFEST)
     )
@@ -301,7 +307,8 @@ def deduplicated_archives(
     folder = (folder or shared_folder(pages.sparkSession, "warc")).rstrip("/")
     first = settle(write_responses(pages, f"{folder}/responses"))
     headers = settle(read_headers(first))
-    second = settle(write_deduplicated(resolve(headers, least_bytes), f"{folder}/deduplicated"))
+    resolved = resolve(headers, least_bytes)
+    second = settle(write_deduplicated(resolved, f"{folder}/deduplicated", first.count()))
     read = settle(read_headers(second))
     # Only responses that are referred to are joined.
     wanted = read.where("refers_to_id IS NOT NULL").select(F.col("refers_to_id").alias("record_id"))

@@ -3,6 +3,8 @@ import gzip
 import hashlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from meterline.llm import queries, warc
 
 PAGES = "page_id long, url string, html string"
@@ -66,5 +68,16 @@ def test_offsets_are_member_starts(spark, tmp_path):
         assert headers["WARC-Page-ID"] == str(r["page_id"])
 
 
+def test_as_many_tasks_as_archives(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", f"page {i % 7}") for i in range(90)], PAGES).repartition(9)
+    first = warc.settle(warc.write_responses(df, f"file://{tmp_path}/a"))
+    assert first.count() == 9
+    read = warc.settle(warc.read_headers(first))
+    part = read.select("path", F.spark_partition_id().alias("part")).distinct().collect()
+    assert len(part) == 9 and len({r["part"] for r in part}) == 9
+    anew = warc.settle(warc.write_deduplicated(warc.resolve(read), f"file://{tmp_path}/b", 9))
+    assert anew.rdd.getNumPartitions() == 9 and anew.agg(F.sum("records")).first()[0] == 90
+
+
 def test_no_pages(spark):
     assert warc.deduplicated_archives(spark.createDataFrame([], PAGES)).count() == 0
