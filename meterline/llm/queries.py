@@ -61,11 +61,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.coalesce("text", F.lit("")).cast("binary")
-    return sharding.shard_by_bytes(_table(spark, sf_dir, "documents"), 24).select(
+    crc = {"text_crc32": F.crc32(F.coalesce("text", F.lit("")).cast("binary"))}
+    docs = _table(spark, sf_dir, "documents")
+    return sharding.shard_by_bytes(docs, 24, instead_of_text=crc).select(
         "doc_id",
         "size",
-        F.crc32(text).alias("text_crc32"),
+        "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
         "slot",

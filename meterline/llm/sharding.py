@@ -8,7 +8,7 @@ sizes: one row, of bounded length. The same expressions run at any size of the t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELL_BITS = 16
@@ -60,11 +60,19 @@ FROM m
 """
 
 
-def shard_by_bytes(docs: DataFrame, shards: int, *, overhead: int = 8) -> DataFrame:
+def shard_by_bytes(
+    docs: DataFrame,
+    shards: int,
+    *,
+    overhead: int = 8,
+    instead_of_text: dict[str, Column] | None = None,
+) -> DataFrame:
     """Put documents into ``shards`` shards of nearly equal bytes; equal texts stay together.
 
     Input: ``doc_id``, ``text`` and any other columns. Adds (replacing columns of these names)
     ``size`` (UTF-8 bytes plus ``overhead``), ``shard`` and ``slot`` (gapless from 0 in a shard).
+    With ``instead_of_text`` these columns are formed where the text is read and the text itself
+    is left out, so that no shuffle carries it.
 
     A null text counts as an empty one. Repeated rows get slots of their own. Null ``doc_id``
     values come first in their cell. An empty table gives an empty one. A group above the mean
@@ -74,13 +82,17 @@ def shard_by_bytes(docs: DataFrame, shards: int, *, overhead: int = 8) -> DataFr
     """
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
+    formed = instead_of_text or {}
     put = docs.drop("size", "shard", "slot").withColumns(
         {
             "size": (F.octet_length(text) + overhead).cast("long"),
             "__cell": F.shiftrightunsigned(F.xxhash64(text), 64 - CELL_BITS),
             "__salt": F.pmod(F.xxhash64("doc_id", *_others(docs)), F.lit(SALTS)),
         }
+        | formed
     )
+    if formed:
+        put = put.drop("text")
     counted = put.groupBy("__cell", "__salt").agg(
         F.count("*").alias("__n"), F.sum("size").alias("__bytes")
     )

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -61,6 +62,19 @@ def test_query_columns(spark):
         assert r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode())
         assert (r["law"], r["grown_shard"]) == ("bytes", None)
     assert "Python" not in result._jdf.queryExecution().toString()
+    # The text is read, and no exchange carries it on.
+    assert any("text#" in x for x in inputs(result, "Scan parquet"))
+    assert inputs(result, "Exchange") and not any("text#" in x for x in inputs(result, "Exchange"))
+    whole = sharding.shard_by_bytes(spark.read.parquet(f"{SF}/documents.parquet"), 24)
+    assert any("text#" in x for x in inputs(whole, "Exchange"))
+
+
+def inputs(df, operator):
+    """What the plan's operators of one kind are given."""
+    execution = df._jdf.queryExecution()
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    nodes = re.split(r"\n\n+", execution.explainString(mode))
+    return [re.sub(r"\btext_\w+", "", x) for x in nodes if re.match(rf"\(\d+\) {operator}\b", x)]
 
 
 def test_hot_text_and_large_groups(spark):
