@@ -13,8 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.common import slices
+from meterline.llm.common import settle, slices
 from meterline.llm.vocab import encoder, public_path
+from meterline.plans.sizing import broadcast_when_small
 
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
 
@@ -50,21 +51,10 @@ def count_tokens(
     once: a task passes on one row of each content. Null and repeated ``doc_id`` values are rows
     like others. An empty table gives an empty one and leaves the cache as it is.
     """
-    spark = docs.sparkSession
-    version = tokenizer_digest(public_path(tokenizer))
+    fill_cache(docs, cache, tokenizer=tokenizer, normalise=normalise)
     text = F.coalesce("text", F.lit(""))
     content = F.unhex(F.sha2(normalise(text), 256))
-    contents = docs.select(
-        content.alias("content_digest"), normalise(text).alias("content")
-    ).dropDuplicates(["content_digest"])
-    known = _read(spark, cache, version)
-    if known is not None:
-        contents = contents.join(known.select("content_digest"), "content_digest", "left_anti")
-    counted = contents.mapInArrow(_counter(tokenizer), "content_digest binary, n_tokens long")
-    counted.select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode(
-        "append"
-    ).parquet(cache)
-    counts = _read(spark, cache, version)
+    counts = _read(docs.sparkSession, cache, tokenizer_digest(public_path(tokenizer)))
     keyed = docs.drop("n_bytes", "n_tokens", "over_limit").withColumns(
         {"__digest": content, "n_bytes": F.octet_length(text).cast("long")}
     )
@@ -74,6 +64,37 @@ def count_tokens(
     return joined.withColumn("over_limit", F.col("n_tokens") > limit).drop("__digest")
 
 
+def fill_cache(
+    docs: DataFrame,
+    cache: str,
+    *,
+    tokenizer: str = "word_bpe_49k.json",
+    normalise: Callable[[Column], Column] = squeezed,
+) -> None:
+    """Append the counts of contents that the cache lacks; parameters as for ``count_tokens``.
+
+    With counts stored before, only digests are shuffled to find what is missing: if that is
+    nothing, no text leaves its scan, and if it is little, it is broadcast to the texts.
+    """
+    spark = docs.sparkSession
+    version = tokenizer_digest(public_path(tokenizer))
+    text = normalise(F.coalesce("text", F.lit("")))
+    contents = docs.select(F.unhex(F.sha2(text, 256)).alias("content_digest"), text.alias("content"))
+    known = _read(spark, cache, version)
+    if known is not None:
+        digests = contents.select("content_digest").distinct()
+        missing = settle(digests.join(known.select("content_digest"), "content_digest", "left_anti"))
+        if missing.isEmpty():
+            return
+        contents = contents.join(broadcast_when_small(missing), "content_digest", "left_semi")
+    counted = contents.dropDuplicates(["content_digest"]).mapInArrow(
+        _counter(tokenizer), "content_digest binary, n_tokens long"
+    )
+    counted.select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode(
+        "append"
+    ).parquet(cache)
+
+
 def _read(spark: SparkSession, cache: str, version: str) -> DataFrame | None:
     """Counts of one tokenizer version; two runs may have appended the same content."""
     path = spark._jvm.org.apache.hadoop.fs.Path(cache)

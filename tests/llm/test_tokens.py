@@ -51,3 +51,20 @@ def test_only_distinct_misses_are_appended(spark, tmp_path):
     byte = tokens.count_tokens(more, cache, tokenizer="byte_bpe_50k.json", normalise=lambda c: c)
     assert rows(byte, *COLUMNS) == brute(plain(more), "byte_bpe_50k.json")
     assert spark.read.parquet(cache).count() == 11
+
+
+def test_second_pass_encodes_nothing(spark, tmp_path, monkeypatch):
+    cache = f"{tmp_path}/cache"
+    docs = spark.createDataFrame([(i, f"text {i % 9}") for i in range(90)], "doc_id long, text string")
+    tokens.fill_cache(docs, cache)
+    monkeypatch.setattr(tokens, "_counter", lambda tokenizer: 1 / 0)
+    assert rows(tokens.count_tokens(docs, cache), *COLUMNS) == brute(plain(docs))
+    monkeypatch.undo()
+    # Few misses are broadcast and many are shuffled; either way only they are encoded.
+    for limit, text in ((tokens.broadcast_when_small, "a"), (lambda df: df, "b")):
+        monkeypatch.setattr(tokens, "broadcast_when_small", limit)
+        more = docs.unionByName(spark.createDataFrame([(100, text), (101, text)], docs.schema))
+        before = spark.read.parquet(cache).count()
+        tokens.fill_cache(more, cache)
+        assert spark.read.parquet(cache).count() == before + 1
+        assert rows(tokens.count_tokens(more, cache), *COLUMNS) == brute(plain(more))
