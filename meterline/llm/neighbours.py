@@ -86,33 +86,16 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the vectors that take part, one row per id.
+    """(vec_id, embedding) of the vectors that take part, repeated ids and rows included.
 
-    Out are null ids and vectors that are null, empty, zero or hold a null or non-finite
-    component, and those not of the commonest length (the longest of equally common ones). Of
-    several vectors under one id the smallest takes part.
+    Out are null ids and vectors that are null, empty, zero or hold a null or non-finite component.
     """
     finite = F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
-    good = vectors.select("vec_id", "embedding").where(
+    return vectors.select("vec_id", "embedding").where(
         F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     )
-    length = F.size("embedding")
-    common = (
-        good.groupBy(length.alias("length"))
-        .count()
-        .orderBy(F.desc("count"), F.desc("length"))
-        .limit(1)
-        .first()
-    )
-    if common is None:
-        return good.where(F.lit(False))
-    return (
-        good.where(length == common["length"])
-        .groupBy("vec_id")
-        .agg(F.min("embedding").alias("embedding"))
-    )
 
 
 def nearest(
@@ -131,39 +114,64 @@ def nearest(
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` (inner product in double precision,
     summed in order of components), best first, ties to the smaller ``vec_id``.
 
+    A row is a candidate of every other row, also of one with its ``vec_id``: rows that share an id
+    ask and are found one by one, each asking row with ranks from 1. Vectors are compared with those
+    of their own length, each length in an index of its own; models give one or a few.
+
     ``hashes`` per bucket stay the same whatever the number of vectors, so that the share of them
     that a query is compared with, and with it the recall, does too; more need more probes. Equal
     vectors are searched once and their ids expanded afterwards; a bucket of many vectors is dealt
     over several tasks. A query that the tables give fewer than ``k`` rows is searched against all
-    vectors in blocks. Vectors that take part are those of ``usable``; others neither ask nor are
-    found. An empty table gives no rows.
+    vectors of its length in blocks. Vectors that take part are those of ``usable``; others neither
+    ask nor are found. An empty table gives no rows.
     """
-    one = settle(usable(vectors))
+    rows = settle(usable(vectors))
     norm = F.sqrt(
         F.aggregate(
             "embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")
         )
     )
-    n, dims, shortest, longest = one.agg(
-        F.count("*"), F.max(F.size("embedding")), F.min(norm), F.max(norm)
-    ).first()
+    lengths = (
+        rows.groupBy(F.size("embedding").alias("dims"))
+        .agg(F.count("*").alias("n"), F.min(norm).alias("shortest"), F.max(norm).alias("longest"))
+        .orderBy("dims")
+        .collect()
+    )
+    kind = rows.schema["vec_id"].dataType.simpleString()
+    found = rows.sparkSession.createDataFrame(
+        [], f"query_id {kind}, rank int, vec_id {kind}, score double"
+    )
+    for dims, n, shortest, longest in lengths:
+        one = rows.where(F.size("embedding") == dims)
+        uneven = longest - shortest > 1e-3 * longest
+        hasher = Hasher(dims, longest if uneven else None, tables, hashes, seed)
+        found = found.unionByName(_nearest_of(one, query, n, hasher, k, probes))
+    return found
+
+
+def _nearest_of(
+    one: DataFrame, query: Column, n: int, hasher: Hasher, k: int, probes: int
+) -> DataFrame:
+    """The result for ``n`` rows whose vectors are of one length."""
+    # ``place`` numbers the rows of a class of equal vectors, which tells apart rows of one id.
     places = Window.partitionBy("embedding").orderBy("vec_id")
+    placed = settle(one.withColumn("place", F.row_number().over(places)))
+    classes = placed.where(F.col("place") <= k + 1).groupBy("embedding").agg(
+        F.min("vec_id").alias("first"), F.array_sort(F.collect_list("vec_id")).alias("ids")
+    )
+    # Class numbers rise with the smallest id, so that ties cut short keep the smaller one.
     classes = settle(
-        one.withColumn("place", F.row_number().over(places))
-        .where(F.col("place") <= k + 1)
-        .groupBy("embedding")
-        .agg(F.min("vec_id").alias("cid"), F.collect_list("vec_id").alias("ids"))
+        classes.repartitionByRange("first", "embedding")
+        .sortWithinPartitions("first", "embedding")
+        .withColumn("cid", F.monotonically_increasing_id())
+        .drop("first")
     )
     asking = settle(
-        one.where(query)
+        placed.where(query)
         .join(classes.select("embedding", "cid"), "embedding")
-        .select(F.col("vec_id").alias("query_id"), "cid")
+        .select(F.col("vec_id").alias("query_id"), F.col("place").alias("own"), "cid")
     )
     asked = classes.join(asking.select("cid").distinct(), "cid").select("cid", "embedding")
-    if not n:
-        return _ranked(asked.select("cid", F.col("cid").alias("other")), classes, asking, k)
-    uneven = longest - shortest > 1e-3 * longest
-    hasher = Hasher(dims, longest if uneven else None, tables, hashes, seed)
     index = classes.select("cid", "embedding")
     filed = _filed(index, hasher, 1, False)
     sizes = _filed(index, hasher, 1, False, with_vectors=False).groupBy("block").count()
@@ -177,13 +185,14 @@ def nearest(
     due = min(k, n - 1)
     short = settle(
         asking.join(
-            ranked.groupBy("query_id").agg(F.count("*").alias("found")), "query_id", "left"
+            ranked.groupBy("cid", "own").agg(F.count("*").alias("found")), ["cid", "own"], "left"
         )
         .where(F.coalesce("found", F.lit(0)) < due)
-        .select("query_id", "cid")
+        .select("query_id", "own", "cid")
     )
+    result = ["query_id", "rank", "vec_id", "score"]
     if short.isEmpty():
-        return ranked
+        return ranked.select(*result)
     everything = classes.sparkSession.createDataFrame(
         [(0, max(1, math.ceil(n / BUCKET)))], "block long, parts int"
     )
@@ -195,9 +204,8 @@ def nearest(
         everything,
         k,
     )
-    return ranked.join(short.select("query_id"), "query_id", "left_anti").unionByName(
-        _ranked(again, classes, short, k)
-    )
+    rest = ranked.join(short.select("cid", "own"), ["cid", "own"], "left_anti")
+    return rest.unionByName(_ranked(again, classes, short, k)).select(*result)
 
 
 def _filed(
@@ -303,13 +311,13 @@ def _ranked(found: DataFrame, classes: DataFrame, asking: DataFrame, k: int) ->
         lambda a, x: a + x,
     )
     scored = found.join(own, "cid").join(others, "other").select(
-        "cid", product.alias("score"), F.explode("ids").alias("vec_id")
+        "cid", "other", product.alias("score"), F.posexplode("ids").alias("at", "vec_id")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("cid", "own").orderBy(F.desc("score"), "vec_id", "other", "at")
     return (
         scored.join(asking, "cid")
-        .where("vec_id <> query_id")
+        .where("other <> cid OR at + 1 <> own")
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("cid", "own", "query_id", "rank", "vec_id", "score")
     )

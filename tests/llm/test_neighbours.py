@@ -78,12 +78,26 @@ def test_equal_vectors_ties_and_unusable_ones(spark):
     base = [1.0, 0.5, -0.25, 0.0]
     rows = [(i, base) for i in range(60)] + [(100, [0.5, 0.5, 0.5, 0.5]), (101, [-1.0, 0.0, 0.0, 0.0])]
     bad = [(200, None), (220, []), (240, [0.0] * 4), (260, [float("nan"), 1.0, 1.0, 1.0]),
-           (280, [math.inf, 0.0, 0.0, 0.0]), (300, [1.0, None, 1.0, 1.0]), (320, [1.0, 2.0]), (None, base)]
-    df = spark.createDataFrame([(*r, 1) for r in rows + bad + rows[:3]], SCHEMA + ", rank int")
+           (280, [math.inf, 0.0, 0.0, 0.0]), (300, [1.0, None, 1.0, 1.0]), (None, base)]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows + bad], SCHEMA + ", rank int, own int, cid long")
     got = found(neighbours.nearest(df, F.col("vec_id") % 20 == 0))
     assert got == brute(rows, lambda i: i % 20 == 0)
 
 
+def test_repeated_ids_and_other_lengths(spark):
+    """Rows of one id are rows like others, and vectors of a length are searched among themselves."""
+    rng = np.random.default_rng(6)
+    made = [(i % 90, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(150)]
+    made += made[:40] + [(7, [1.0] * 3), (20, [0.5, 0.5, 0.25]), (20, [0.5, 0.5, 0.25]), (40, [1.0] * 5)]
+    got = neighbours.nearest(spark.createDataFrame(made, SCHEMA), F.col("vec_id") % 20 == 0, k=9).collect()
+    want = []
+    for at, (q, v) in enumerate(made):
+        if q % 20 == 0:
+            near = sorted((-sum_of(v, u), i) for j, (i, u) in enumerate(made) if j != at and len(u) == len(v))
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(near[:9], 1)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 def test_unequal_lengths_go_by_inner_product(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=16) * rng.uniform(0.2, 3)])
