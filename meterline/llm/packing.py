@@ -152,6 +152,7 @@ def pack(
                     yield _batch(out, schema)
                     out.clear()
         packer.finish()
+        codec.forget()
         if out:
             yield _batch(out, schema)
 

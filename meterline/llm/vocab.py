@@ -14,6 +14,7 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
 
 # Anything any of the libraries counts as white space, and characters near it.
 _BLANK = r"\s\x85\xa0" + "".join(map(chr, (0x180E, 0x200B, 0xFEFF)))
@@ -79,6 +80,11 @@ class Encoder:
             known[cut] = array("I", found.ids).tobytes()
         return [b"".join([known[c] for c in cut]) for cut in cuts]
 
+    def forget(self) -> None:
+        """Give back what the cuts take: a worker that idles, or runs another stage, needs none."""
+        self.ids = {}
+        pa.default_memory_pool().release_unused()
+
     def _encode_run(self, cuts: list[str]) -> None:
         """Learn the ids of cuts from their joined text; of none if ids run across a cut."""
         whole = self.model.encode_batch_fast(["".join(cuts)], add_special_tokens=False)[0].ids
