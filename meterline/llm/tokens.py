@@ -115,6 +115,5 @@ def _counter(tokenizer: str):
                 [batch.column("content_digest"), pa.array(n, pa.int64())],
                 names=["content_digest", "n_tokens"],
             )
-        codec.forget()
 
     return run
