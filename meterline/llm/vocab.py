@@ -30,7 +30,7 @@ _KNOWN: dict[str, "Encoder"] = {}
 class Encoder:
     """Ids of texts by one tokenizer file, with a bounded memory of cuts."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 200_000):
         # Tasks already use all cores.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
