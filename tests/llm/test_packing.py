@@ -62,6 +62,21 @@ def test_fresh_encoders_give_the_tokenizers_ids(file):
         assert own.encode(texts) == want
 
 
+def test_words_do_not_go_through_the_whole_tokenizer():
+    path = public_path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), Encoder(path)
+    text = "The caf\u00e9 stayed\nopen### until nine\nZo\u00eb said"
+    asked = []
+
+    def whole(cuts, **options):
+        asked.extend(cuts)
+        return library.encode_batch_fast(cuts, **options)
+
+    own.ids.whole = whole
+    assert own.encode([text]) == [array("I", library.encode(text).ids).tobytes()]
+    assert asked == ["###"]
+
+
 def test_blank_documents_are_packed(spark):
     docs = [(1, "\n"), (2, "\n\n"), (3, " "), (4, "\n \n"), (5, "\nend\n")]
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS).coalesce(1)
