@@ -35,6 +35,11 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def give_back() -> None:
+    """Return what Arrow keeps for later, at a task's end: a worker that idles needs none."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(column: pa.Array, chars: int = 1_000_000) -> Iterator[tuple[int, list]]:
     """Cut a column of texts into runs of about ``chars`` bytes: (first row, values)."""
     start, size = 0, 0

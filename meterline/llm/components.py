@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import settle
 
+# Links a task takes at least, if that leaves a task per core: rounds on few links would else
+# write a file for every pair of partitions, again and again.
+TASK_LINKS = 50_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of ``links`` (its first two columns, one orderable type).
@@ -23,7 +27,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = settle(_down(pairs))
     state = _state(edges)
     while state[0]:
-        edges = settle(_small_star(_large_star(edges)))
+        tasks = max(links.sparkSession.sparkContext.defaultParallelism, state[0] // TASK_LINKS)
+        edges = _large_star(edges.coalesce(tasks), tasks)
+        edges = settle(_small_star(edges, tasks))
         last, state = state, _state(edges)
         if state == last:
             break
@@ -42,17 +48,18 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), digest).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = both.join(least, "u").where("v > u").coalesce(tasks)
+    return linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
-    edges = edges.where("u <> v").distinct()
+    edges = edges.where("u <> v").distinct().coalesce(tasks)
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))
-    return moved.unionByName(own).where("u <> v").distinct()
+    return moved.unionByName(own).coalesce(tasks).where("u <> v").distinct().coalesce(tasks)

@@ -20,7 +20,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
-from meterline.llm.common import SPACES, settle
+from meterline.llm.common import SPACES, give_back, settle
 from meterline.llm.components import components
 from meterline.llm.counts import Counter, buckets, summed
 from meterline.plans.sizing import broadcast_when_small
@@ -42,34 +42,45 @@ BANDS, ROWS = 16, 4
 # The smallest of PASSAGE - ANCHOR + 1 neighbouring windows is picked: all that a passage holds.
 PASSAGE, ANCHOR = 50, 25
 _WORD = re.compile(rb"\S+")
+# Where words of a line are not joined by single spaces already.
+_SPACING = (b"  ", b" \n", b"\n ", b"\t", b"\r", b"\x0b", b"\x0c")
 
 _FOUND = "para integer, first_word integer, n_words integer, digest binary"
 
 
-def units_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, int, list[bytes]]]:
-    """(line number, number of the first word in the text, words) of each paragraph."""
+def lines_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, int, int, bytes]]:
+    """(line number, number of the first word in the text, words, joined words) of each paragraph."""
     found = []
-    line_at = first = 0
+    line_at = first = number = 0
     joined: list[bytes] = []
     at = 0
-    for i, line in enumerate((text or "").split("\n")):
-        words = line.encode("utf-8", "surrogatepass").split()
-        if words and len(words) < least:
+    whole = b"\n" + (text or "").encode("utf-8", "surrogatepass") + b"\n"
+    plain = not any(map(whole.__contains__, _SPACING))
+    for i, raw in enumerate(whole[1:-1].split(b"\n")):
+        line = raw if plain else b" ".join(raw.split())
+        n = line.count(b" ") + 1 if line else 0
+        if n and n < least:
             if not joined:
                 line_at, first = i, at
-            joined += words
+            joined.append(line)
+            number += n
         else:
-            if len(joined) >= least:
-                found.append((line_at, first, joined))
-            joined = []
-            if words:
-                found.append((i, at, words))
-        at += len(words)
-    if len(joined) >= least:
-        found.append((line_at, first, joined))
+            if number >= least and joined:
+                found.append((line_at, first, number, b" ".join(joined)))
+            joined, number = [], 0
+            if n:
+                found.append((i, at, n, line))
+        at += n
+    if number >= least and joined:
+        found.append((line_at, first, number, b" ".join(joined)))
     return found
 
 
+def units_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, int, list[bytes]]]:
+    """(line number, number of the first word in the text, words) of each paragraph."""
+    return [(i, first, line.split(b" ")) for i, first, _, line in lines_of(text, least)]
+
+
 def paragraphs_of(text: str | None, least: int = MIN_WORDS) -> list[tuple[int, list[bytes]]]:
     """(line number, words) of each paragraph with at least ``least`` words."""
     return [(line, words) for line, _, words in units_of(text, least)]
@@ -127,34 +138,88 @@ def similarity(a: bytes, b: bytes, of_a: set, of_b: set, edits: bool = True) ->
     return max(jaccard, 1 - edit_distance(*words) / longer)
 
 
-def min_hash(values: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    """The smallest hash of a set under each of several hash functions (64-bit wrapping)."""
-    low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(values), 4096):
-        some = values[at : at + 4096]
-        mixed = (some ^ (some >> np.uint64(29)))[:, None] * factors + shifts
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(0x9E3779B97F4A7C15)
-        np.minimum(low, mixed.min(axis=0), out=low)
-    return low
+def min_hash(
+    values: np.ndarray, factors: np.ndarray, shifts: np.ndarray, begins: np.ndarray | None = None
+) -> np.ndarray:
+    """The smallest hash of a set under each of several hash functions (32-bit wrapping).
+
+    With ``begins``, a row for each of the sets that lie one after the other and begin there.
+    """
+    own = values.astype(np.uint32)
+    first = [0] if begins is None else begins
+    low = np.empty((len(first), len(factors)), np.uint64)
+    for i, (factor, shift) in enumerate(zip(factors, shifts, strict=True)):
+        mixed = own * np.uint32(factor & np.uint32(0xFFFFFFFF))
+        mixed += np.uint32(shift & np.uint32(0xFFFFFFFF))
+        mixed ^= mixed >> np.uint32(15)
+        mixed *= np.uint32(0x85EBCA6B)
+        mixed ^= mixed >> np.uint32(13)
+        mixed *= np.uint32(0xC2B2AE35)
+        low[:, i] = np.minimum.reduceat(mixed, first)
+    return low[0] if begins is None else low
+
+
+def joined_hashes(
+    lines: bytes, starts: np.ndarray, ends: np.ndarray, base: int = 0x9E3779B97F4A7C15
+) -> np.ndarray:
+    """64-bit hashes of the byte ranges from ``starts`` to ``ends``, equal for equal bytes."""
+    powers, back = _powers(1 << max(16, len(lines).bit_length()), base)
+    sums = np.zeros(len(lines) + 1, np.uint64)
+    values = np.frombuffer(lines, np.uint8).astype(np.uint64)
+    np.cumsum((values + np.uint64(1)) * powers[: len(lines)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * back[starts]
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    return hashes ^ (hashes >> np.uint64(29))
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse (64-bit wrapping), from 0."""
+    both = []
+    for number in (base, pow(base, -1, 1 << 64)):
+        powers = np.full(n, number, np.uint64)
+        powers[0] = 1
+        both.append(np.multiply.accumulate(powers))
+    return both[0], both[1]
 
 
 def _hash_functions() -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(20240229)
-    factors = random.integers(1, 1 << 32, BANDS * ROWS, np.uint64) | np.uint64(1)
-    return factors, random.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+    factors = random.integers(0, 1 << 32, BANDS * ROWS, np.uint32) | np.uint32(1)
+    return factors, random.integers(0, 1 << 32, BANDS * ROWS, np.uint32)
 
 
-def band_keys(words: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """One number per band of a paragraph's MinHash; the band's own number is mixed into it."""
-    low = min_hash(shingle_hashes(words), *functions).reshape(BANDS, ROWS)
+def bands_of(lines: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """One number per paragraph and band of its MinHash; the band's own number is mixed into it.
+
+    Paragraphs are words joined by single spaces. Their windows of ``SHINGLE`` words (fewer words:
+    all) are hashed for all of them at once.
+    """
+    whole = b"\n".join(lines) + b"\n"
+    raw = np.frombuffer(whole, np.uint8)
+    ends = np.flatnonzero((raw == 32) | (raw == 10))
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    last = np.flatnonzero(raw[ends] == 10)
+    words = np.diff(last, prepend=-1)
+    number = np.maximum(words - SHINGLE + 1, 1)
+    begins = np.cumsum(number) - number
+    at = np.arange(number.sum()) + np.repeat(last - words + 1 - begins, number)
+    to = np.minimum(at + SHINGLE - 1, np.repeat(last, number))
+    values = (joined_hashes(whole, starts[at], ends[to]) >> np.uint64(32)).astype(np.uint32)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    low = min_hash(values, *functions, begins)
     for r in range(ROWS):
-        key = (key ^ low[:, r]) * np.uint64(0x100000001B3)
+        key = (key ^ low[:, r::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(31)
     return key.view(np.int64)
 
 
+def band_keys(words: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The bands of one paragraph."""
+    return bands_of([b" ".join(words)], functions)[0]
+
+
 def found_paragraphs(
     docs: DataFrame, keys: list[str], least: int = MIN_WORDS, extra: str | None = None
 ) -> DataFrame:
@@ -176,27 +241,43 @@ def found_paragraphs(
             for first in range(0, len(texts), 500):
                 at, para, places, n, digests, more = [], [], [], [], [], []
                 for i, cell in enumerate(texts.slice(first, 500)):
-                    for number, place, words in units_of(cell.as_py(), least):
-                        line = b" ".join(words)
+                    for number, place, size, line in lines_of(cell.as_py(), least):
                         at.append(first + i)
                         para.append(number)
                         places.append(place)
-                        n.append(len(words))
+                        n.append(size)
                         digests.append(hashlib.md5(line).digest())
                         if extra:
-                            more.append(band_keys(words, functions) if extra == "bands" else line)
+                            more.append(line)
                 if at:
                     columns = [batch.column(c).take(pa.array(at)) for c in keys]
                     columns += [pa.array(x, pa.int32()) for x in (para, places, n)]
                     columns.append(pa.array(digests, pa.binary()))
-                    if extra:
-                        kind = pa.list_(pa.int64()) if extra == "bands" else pa.binary()
-                        columns.append(pa.array(more, kind))
+                    if extra == "bands":
+                        found = [bands_of(some, functions) for some in _runs(more)]
+                        flat = pa.array(np.concatenate(found).reshape(-1))
+                        offsets = pa.array(np.arange(0, len(flat) + 1, BANDS), pa.int32())
+                        columns.append(pa.ListArray.from_arrays(offsets, flat))
+                    elif extra:
+                        columns.append(pa.array(more, pa.binary()))
                     yield pa.RecordBatch.from_arrays(columns, names=names)
+        give_back()
 
     return docs.select(*keys, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
+def _runs(lines: list[bytes], size: int = 1 << 17) -> Iterator[list[bytes]]:
+    """Neighbouring lines of about ``size`` bytes together."""
+    first = total = 0
+    for i, line in enumerate(lines):
+        total += len(line)
+        if total >= size:
+            yield lines[first : i + 1]
+            first, total = i + 1, 0
+    if first < len(lines):
+        yield lines[first:]
+
+
 def similar_pairs(
     distinct: DataFrame, lines: DataFrame, similar: float = SIMILAR, edits: bool = True
 ) -> DataFrame:
@@ -409,29 +490,35 @@ def _pieces(text: str, gone: list[dict]) -> Iterator[tuple[int, list[bytes]]]:
         yield start, words[start:]
 
 
+def _placed(words: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Words joined by spaces, and where each begins and ends there."""
+    line = b" ".join(words)
+    ends = np.append(np.flatnonzero(np.frombuffer(line, np.uint8) == 32), len(line))
+    return line, np.append(0, ends[:-1] + 1), ends
+
+
+def _sliding(of, values: np.ndarray, width: int) -> np.ndarray:
+    """``of`` (minimum or maximum) of every ``width`` neighbouring values."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values, have = of(values[:-step], values[step:]), have + step
+    return values
+
+
 def anchors_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of windows of ``ANCHOR`` words, one at least in every ``PASSAGE`` words.
 
     Which windows of a passage are picked inside it depends on the passage's words alone.
     """
-    import xxhash
-
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(w) for w in words], np.uint64)
-    base = 0x9E3779B97F4A7C15
-    powers = np.full(len(words) + 1, base, np.uint64)
-    back = np.full(len(words) + 1, pow(base, -1, 1 << 64), np.uint64)
-    powers[0] = back[0] = 1
-    np.multiply.accumulate(powers, out=powers)
-    np.multiply.accumulate(back, out=back)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(hashes * powers[:-1], out=sums[1:])
-    windows = (sums[ANCHOR:] - sums[:-ANCHOR]) * back[: len(words) - ANCHOR + 1]
-    windows ^= windows >> np.uint64(31)
-    windows *= np.uint64(0xBF58476D1CE4E5B9)
-    windows ^= windows >> np.uint64(29)
-    near = np.lib.stride_tricks.sliding_window_view(windows, PASSAGE - ANCHOR + 1)
-    picked = np.unique(near.argmin(axis=1) + np.arange(len(near)))
+    line, starts, ends = _placed(words)
+    windows = joined_hashes(line, starts[: len(words) - ANCHOR + 1], ends[ANCHOR - 1 :])
+    near = PASSAGE - ANCHOR + 1
+    least = _sliding(np.minimum, windows, near)
+    pad = np.zeros(near - 1, np.uint64)
+    # The smallest of some passage: the largest of the minima around it is its own.
+    around = _sliding(np.maximum, np.concatenate([pad, least, pad]), near)
+    picked = np.flatnonzero(around == windows)
     return picked, windows[picked].view(np.int64)
 
 
@@ -459,6 +546,7 @@ def _anchors(named: DataFrame, gone: DataFrame) -> DataFrame:
                     ],
                     names=["doc_id", "text_hash", "anchor", "at"],
                 )
+        give_back()
 
     kind = named.schema["doc_id"].dataType.simpleString()
     joined = named.join(gone, F.expr(_SAME), "left").select("doc_id", "text_hash", "text", "__gone")
@@ -480,10 +568,11 @@ def _windows(wanted: DataFrame) -> DataFrame:
                 starts, digests = [], []
                 for first, words in _pieces(text, batch.column("__gone")[i].as_py() or []):
                     inside = near[(near >= first) & (near + PASSAGE <= first + len(words))]
-                    for start in inside.tolist():
-                        line = b" ".join(words[start - first : start - first + PASSAGE])
-                        starts.append(start)
-                        digests.append(hashlib.md5(line).digest())
+                    line, begin, end = _placed(words)
+                    begin, end = begin[inside - first], end[inside - first + PASSAGE - 1]
+                    starts += inside.tolist()
+                    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+                        digests.append(hashlib.md5(line[a:b]).digest())
                 if starts:
                     same = pa.array(np.full(len(starts), i))
                     para = np.searchsorted(ends, starts, side="right")
@@ -496,6 +585,7 @@ def _windows(wanted: DataFrame) -> DataFrame:
                         ],
                         names=["doc_id", "text_hash", "para", "start", "digest"],
                     )
+        give_back()
 
     kind = wanted.schema["doc_id"].dataType.simpleString()
     return wanted.select("doc_id", "text_hash", "text", "__gone", "__at").mapInArrow(
@@ -672,5 +762,6 @@ def without_repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
                 old = arrays["n_chars"]
                 arrays["n_chars"] = pc.coalesce(pa.array(counts, pa.int64()).cast(old.type), old)
             yield pa.RecordBatch.from_arrays([arrays[c] for c in columns], names=columns)
+        give_back()
 
     return joined.select(*columns, "__gone").mapInArrow(run, docs.schema)

@@ -15,7 +15,7 @@ import re
 from array import array
 from typing import TYPE_CHECKING
 
-import pyarrow as pa
+from meterline.llm.common import give_back
 
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
@@ -100,7 +100,7 @@ class Encoder:
     def forget(self) -> None:
         """Give back what the cuts take: a worker that idles, or runs another stage, needs none."""
         self.ids.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def _byte_level(path: str) -> bool:

@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+
 from meterline.llm import paragraphs
 from tests.llm.conftest import DOCS
 
@@ -246,3 +248,34 @@ def test_paragraphs_of_short_lines(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS)
     left = {r["doc_id"]: r["text"] for r in paragraphs.without_repeats(df).collect()}
     assert left == {1: docs[0][1], 2: "another\n\n\nend"}
+
+
+def test_bands_of_many_paragraphs_are_those_of_each():
+    rng = random.Random(11)
+    lines = [b" ".join(rng.choices([b"a", b"bb", b"c\xc3\xa9", b"d."], k=rng.choice([1, 4, 5, 6, 90])))
+             for _ in range(60)]
+    functions = paragraphs._hash_functions()
+    together = paragraphs.bands_of(lines, functions)
+    assert (together == [paragraphs.band_keys(x.split(b" "), functions) for x in lines]).all()
+    # Equal shingle sets have equal bands, whatever the order and number of the shingles.
+    around = [b" ".join([b"a", b"b", b"c"] * n) for n in (4, 9)]
+    assert (np.diff(paragraphs.bands_of(around, functions), axis=0) == 0).all()
+
+
+def test_spacing_makes_no_difference_to_paragraphs():
+    text = " one\ttwo  three\r\nfour five \n\n\x0bsix\x0c seven\neight"
+    plain = "one two three\nfour five\n\nsix seven\neight"
+    assert paragraphs.lines_of(text, 3) == paragraphs.lines_of(plain, 3)
+    assert paragraphs.lines_of(text, 3)[0] == (0, 0, 3, b"one two three")
+
+
+def test_anchors_are_the_smallest_windows_of_each_passage():
+    rng = random.Random(12)
+    words = [b"%d" % rng.randrange(40) for _ in range(400)]
+    picked, hashes = paragraphs.anchors_of(words)
+    ranks = dict(zip(picked.tolist(), hashes.tolist(), strict=True))
+    near = paragraphs.PASSAGE - paragraphs.ANCHOR + 1
+    for start in range(len(words) - paragraphs.PASSAGE + 1):
+        assert any(start + i in ranks for i in range(near))
+    alone = paragraphs.anchors_of(words[100:150])
+    assert set(alone[1].tolist()) <= set(hashes.tolist())
