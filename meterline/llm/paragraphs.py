@@ -141,20 +141,19 @@ def similarity(a: bytes, b: bytes, of_a: set, of_b: set, edits: bool = True) ->
 def min_hash(
     values: np.ndarray, factors: np.ndarray, shifts: np.ndarray, begins: np.ndarray | None = None
 ) -> np.ndarray:
-    """The smallest hash of a set under each of several hash functions (32-bit wrapping).
+    """The smallest hash of a set under each of several hash functions (64-bit wrapping).
 
     With ``begins``, a row for each of the sets that lie one after the other and begin there.
     """
-    own = values.astype(np.uint32)
     first = [0] if begins is None else begins
+    own = values ^ (values >> np.uint64(29))
+    mixed, upper = np.empty_like(own), np.empty_like(own)
     low = np.empty((len(first), len(factors)), np.uint64)
     for i, (factor, shift) in enumerate(zip(factors, shifts, strict=True)):
-        mixed = own * np.uint32(factor & np.uint32(0xFFFFFFFF))
-        mixed += np.uint32(shift & np.uint32(0xFFFFFFFF))
-        mixed ^= mixed >> np.uint32(15)
-        mixed *= np.uint32(0x85EBCA6B)
-        mixed ^= mixed >> np.uint32(13)
-        mixed *= np.uint32(0xC2B2AE35)
+        np.multiply(own, factor, out=mixed)
+        mixed += shift
+        mixed ^= np.right_shift(mixed, np.uint64(32), out=upper)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
         low[:, i] = np.minimum.reduceat(mixed, first)
     return low[0] if begins is None else low
 
@@ -186,8 +185,8 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _hash_functions() -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(20240229)
-    factors = random.integers(0, 1 << 32, BANDS * ROWS, np.uint32) | np.uint32(1)
-    return factors, random.integers(0, 1 << 32, BANDS * ROWS, np.uint32)
+    factors = random.integers(1, 1 << 32, BANDS * ROWS, np.uint64) | np.uint64(1)
+    return factors, random.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
 
 
 def bands_of(lines: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -196,6 +195,8 @@ def bands_of(lines: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> np
     Paragraphs are words joined by single spaces. Their windows of ``SHINGLE`` words (fewer words:
     all) are hashed for all of them at once.
     """
+    import xxhash
+
     whole = b"\n".join(lines) + b"\n"
     raw = np.frombuffer(whole, np.uint8)
     ends = np.flatnonzero((raw == 32) | (raw == 10))
@@ -206,11 +207,13 @@ def bands_of(lines: list[bytes], functions: tuple[np.ndarray, np.ndarray]) -> np
     begins = np.cumsum(number) - number
     at = np.arange(number.sum()) + np.repeat(last - words + 1 - begins, number)
     to = np.minimum(at + SHINGLE - 1, np.repeat(last, number))
-    values = (joined_hashes(whole, starts[at], ends[to]) >> np.uint64(32)).astype(np.uint32)
+    places = zip(starts[at].tolist(), ends[to].tolist(), strict=True)
+    hashes = b"".join([xxhash.xxh64_digest(whole[a:b]) for a, b in places])
+    values = np.frombuffer(hashes, ">u8").astype(np.uint64)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     low = min_hash(values, *functions, begins)
     for r in range(ROWS):
-        key = (key ^ low[:, r::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
+        key = (key ^ low[:, r::ROWS]) * np.uint64(0x100000001B3)
         key ^= key >> np.uint64(31)
     return key.view(np.int64)
 
