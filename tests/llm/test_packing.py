@@ -1,15 +1,17 @@
 import random
+import string
 import zlib
 from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from meterline.llm import packing, queries
+from meterline.llm import packing, queries, vocab
 from meterline.llm.vocab import Encoder, public_path
 from tests.llm.conftest import DOCS
 
@@ -77,6 +79,69 @@ def test_words_do_not_go_through_the_whole_tokenizer():
     assert asked == ["###"]
 
 
+def cuts_one_by_one(text):
+    """The rule of ``vocab``, character by character."""
+    cuts, begin = [], 0
+    for i in range(1, len(text)):
+        after, before = text[i + 1 : i + 2], text[i - 1]
+        if text[i] in " \n":
+            new = after and not (after.isspace() or after in "\u180e\u200b\ufeff")
+        else:
+            letter = before.isascii() and before.isalpha() or "\xc0" <= before <= "\xff"
+            new = text[i] in set(string.punctuation) - set("_'") and letter and before not in "\xd7\xf7"
+        if new:
+            cuts.append(text[begin:i])
+            begin = i
+    return cuts + [text[begin:]] * bool(text)
+
+
+def check_cuts(texts):
+    cuts, first = vocab._cut(pa.array(texts, pa.large_string()), ["<|endoftext|>"])
+    want = [[t] if "<|endoftext|>" in t else cuts_one_by_one(t) for t in texts]
+    found = cuts.to_pylist()
+    assert [found[a:b] for a, b in zip(first, first[1:], strict=False)] == want
+
+
+@settings(max_examples=400, deadline=None)
+@given(texts=st.lists(st.lists(PARTS | st.characters(codec="utf-8"), max_size=12).map("".join),
+                      min_size=1, max_size=5))
+def test_texts_are_cut_in_bulk_where_each_would_be(texts):
+    check_cuts(texts)
+
+
+def test_cuts_before_and_after_every_character():
+    every = [c for c in map(chr, range(0x10000)) if not "\ud800" <= c <= "\udfff"]
+    check_cuts([t for c in every for t in (f"{c}.b", f"a {c}", f"a\n{c}b", f"a{c}", c)])
+
+
+def test_each_distinct_cut_of_a_call_is_looked_up_once():
+    path = public_path("byte_bpe_50k.json")
+    own, asked = Encoder(path), []
+
+    class Asked(type(own.ids)):
+        def __getitem__(self, cut):
+            asked.append(cut)
+            return super().__getitem__(cut)
+
+    own.ids = Asked(own.model)
+    own.encode([" the end" * 50, " end" * 50])
+    assert sorted(asked) == [" end", " the"]
+
+
+def test_cuts_in_use_stay_known():
+    path = public_path("byte_bpe_50k.json")
+    own, library, asked = Encoder(path, remembered=20), Tokenizer.from_file(path), []
+    tokenize = own.ids.tokenize
+    own.ids.tokenize = lambda word: asked.append(word) or tokenize(word)
+    for i in range(0, 300, 10):
+        text = " the" + "".join(f" w{'x' * (j % 17)}{'y' * (j // 17)}" for j in range(i, i + 10))
+        assert own.encode([text]) == [array("I", library.encode(text).ids).tobytes()]
+        assert len(own.ids) + len(own.ids.old) <= 2 * (20 + 11)
+    assert len(asked) == 301
+    own.forget()
+    assert not own.ids and not own.ids.old
+
+
 def test_blank_documents_are_packed(spark):
     docs = [(1, "\n"), (2, "\n\n"), (3, " "), (4, "\n \n"), (5, "\nend\n")]
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS).coalesce(1)
